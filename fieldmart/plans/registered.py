@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from fieldmart.plans import climate_queries, market_queries  # noqa: F401
+from fieldmart.plans import climate_queries, crop_queries, market_queries, scenario_queries  # noqa: F401
