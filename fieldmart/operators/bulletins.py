@@ -55,17 +55,19 @@ def current_weather(records: DataFrame) -> DataFrame:
     )
 
 
+ONLY_TODAY = {"rh_0830_pct": "Relative_Humidity_at_0830", "rh_1730_pct": "Relative_Humidity_at_1730",
+              "rainfall_24h_mm": "Past_24_hrs_Rainfall"}
+
+
 def _day_fields(day: int) -> Column:
-    names = (("Today_Max_temp", "Today_Min_temp", "Todays_Forecast") if day == 1 else
-             (f"Day_{day}_Max_Temp", f"Day_{day}_Min_temp", f"Day_{day}_Forecast"))
-    only_today = [("rh_0830_pct", "Relative_Humidity_at_0830"), ("rh_1730_pct", "Relative_Humidity_at_1730"),
-                  ("rainfall_24h_mm", "Past_24_hrs_Rainfall")]
-    none = F.lit(None).cast("double")
+    """The raw texts of one day ahead; they are parsed after the days became rows."""
+    high, low, text = (("Today_Max_temp", "Today_Min_temp", "Todays_Forecast") if day == 1 else
+                       (f"Day_{day}_Max_Temp", f"Day_{day}_Min_temp", f"Day_{day}_Forecast"))
+    none = F.lit(None).cast("string")
     return F.struct(
         F.lit(day).alias("forecast_day"),
-        _number(names[0]).alias("temp_max_c"), _number(names[1]).alias("temp_min_c"),
-        _text(names[2]).alias("forecast_text"),
-        *[(_number(n) if day == 1 else none).alias(c) for c, n in only_today])
+        _field(high).alias("temp_max_c"), _field(low).alias("temp_min_c"), _field(text).alias("forecast_text"),
+        *[(_field(name) if day == 1 else none).alias(c) for c, name in ONLY_TODAY.items()])
 
 
 def city_forecast(records: DataFrame) -> DataFrame:
@@ -73,21 +75,24 @@ def city_forecast(records: DataFrame) -> DataFrame:
 
     A malformed record gives a single row without a day.
     """
-    name = _field("Station_Name", "Station")
-    issued_text = _text("Date")
-    issued = F.when(issued_text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), issued_text.try_cast("date"))
-    reason = (F.when(name.isNull(), "record missing required 'Station_Name' field")
-              .when(issued.isNull(), "unparseable issue date"))
     base = records.select(
-        _text("Station_Code").alias("station_code"), one_line(name).alias("station_name"),
-        issued.alias("_issued"), reason.alias("malformed"),
-        F.array(*[_day_fields(d) for d in range(1, DAYS_AHEAD + 1)]).alias("_days"))
-    days = F.when(F.col("malformed").isNull(), F.col("_days"))
-    return base.select("station_code", "station_name", "_issued", "malformed", F.inline_outer(days)).select(
-        "station_code", "station_name",
-        F.date_add("_issued", F.col("forecast_day") - 1).cast("string").alias("date"),
-        "forecast_day", "temp_max_c", "temp_min_c", "forecast_text",
-        "rh_0830_pct", "rh_1730_pct", "rainfall_24h_mm", "malformed")
+        _text("Station_Code").alias("station_code"), _field("Station_Name", "Station").alias("_name"),
+        _text("Date").alias("_date"),
+        F.inline(F.array(*[_day_fields(d) for d in range(1, DAYS_AHEAD + 1)])))
+    issued = F.when(F.col("_date").rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.col("_date").try_cast("date"))
+    reason = (F.when(F.col("_name").isNull(), "record missing required 'Station_Name' field")
+              .when(issued.isNull(), "unparseable issue date"))
+    days = base.withColumns({"_issued": issued, "malformed": reason}).where(
+        F.col("malformed").isNull() | (F.col("forecast_day") == 1))
+    good = F.col("malformed").isNull()
+    return days.select(
+        "station_code", one_line(F.col("_name")).alias("station_name"),
+        F.when(good, F.date_add("_issued", F.col("forecast_day") - 1).cast("string")).alias("date"),
+        F.when(good, F.col("forecast_day")).alias("forecast_day"),
+        *[F.when(good, bulletin_number(F.col(c))).alias(c) for c in ("temp_max_c", "temp_min_c")],
+        F.when(good, one_line(F.col("forecast_text"))).alias("forecast_text"),
+        *[F.when(good, bulletin_number(F.col(c))).alias(c) for c in ONLY_TODAY],
+        "malformed")
 
 
 def _district_head() -> list[Column]:

@@ -223,3 +223,10 @@ def project(df: DataFrame, contract: Contract) -> DataFrame:
 
 def blank(column: str) -> Column:
     return F.coalesce(strip(F.col(column).cast("string")), F.lit("")) == ""
+
+
+def gate_outcome(checked: DataFrame, contract: Contract) -> DataFrame:
+    """What the gate would do, as one row: dataset, offending_rows, outcome."""
+    bad = checked.agg(F.count_if(F.size("_violations") > 0).alias("offending_rows"))
+    return bad.select(F.lit(contract.name).alias("dataset"), "offending_rows",
+                      F.when(F.col("offending_rows") > 0, "stopped").otherwise("passed").alias("outcome"))

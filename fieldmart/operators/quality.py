@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldmart.operators.contracts import blank
-from fieldmart.operators.dedupe import duplicate_rows
 
 PASS, INFO, FAIL = "PASS", "INFO", "FAIL"
 REPORT = ["check", "dataset", "status", "detail"]
@@ -29,6 +29,22 @@ CROP_BOUNDS = {f"{c} < 0": f"{c} < 0" for c in (
     "latest_modal_price", "obs_temp_max_c", "obs_temp_min_c")}
 
 
+@dataclass(frozen=True)
+class Rule:
+    """One check of a table: the row conditions it counts and its report entry.
+
+    The entry may use each count by its name, and `rows` and `duplicates`.
+    """
+
+    counts: Mapping[str, Column]
+    entry: Column
+
+
+def _entry(check: str, dataset: str, status: Column, detail: Column) -> Column:
+    return F.struct(F.lit(check).alias("check"), F.lit(dataset).alias("dataset"),
+                    status.alias("status"), detail.alias("detail"))
+
+
 def _row(check: str, dataset: str, status: Column, detail: Column) -> list[Column]:
     return [F.lit(check).alias("check"), F.lit(dataset).alias("dataset"),
             status.alias("status"), detail.alias("detail")]
@@ -42,6 +58,67 @@ def _failed_if(bad: Column) -> Column:
     return F.when(bad, FAIL).otherwise(PASS)
 
 
+def facts(df: DataFrame, key: Sequence[str] | None, counts: Mapping[str, Column]) -> DataFrame:
+    """One row: rows, repeated keys and the rows meeting each condition, in one pass.
+
+    With a key the counts are first combined per key, so the pass that finds
+    duplicates also gives all other counts.
+    """
+    first = [F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in counts.items()]]
+    if not key:
+        return df.agg(*first, F.lit(0).cast("long").alias("duplicates"))
+    per_key = df.groupBy(*key).agg(*first)
+    none = F.lit(0).cast("long")
+    return per_key.agg(
+        F.coalesce(F.sum("rows"), none).alias("rows"),
+        F.coalesce(F.sum(F.col("rows") - 1), none).alias("duplicates"),
+        *[F.coalesce(F.sum(n), none).alias(n) for n in counts])
+
+
+def run_rules(df: DataFrame, key: Sequence[str] | None, rules: Sequence[Rule]) -> DataFrame:
+    """All rules of one table from one pass, one report row each."""
+    counts = {n: c for rule in rules for n, c in rule.counts.items()}
+    return facts(df, key, counts).select(F.inline(F.array(*[rule.entry for rule in rules])))
+
+
+def duplicates_rule(dataset: str, what: str = "rows") -> Rule:
+    return Rule({}, _entry("duplicates", dataset, _failed_if(F.col("duplicates") > 0),
+                           _counted("duplicates", f"duplicate {what}", f"no duplicate {what}")))
+
+
+def empty_geography_rule(dataset: str, columns: Sequence[str] = ("state", "district")) -> Rule:
+    empty = reduce(Column.__or__, [blank(c) for c in columns])
+    return Rule({"empty_geo": empty}, _entry(
+        "missing_geo", dataset, _failed_if(F.col("empty_geo") > 0),
+        _counted("empty_geo", "rows with empty state/district", "no empty state/district")))
+
+
+def unknown_places_rule(dataset: str, unknown: Column) -> Rule:
+    """Fails only when every row lies outside the monitored districts."""
+    detail = F.concat(F.col("unknown_geo").cast("string"), F.lit("/"), F.col("rows").cast("string"),
+                      F.lit(" rows without a monitored district"))
+    return Rule({"unknown_geo": unknown}, _entry(
+        "missing_geo", dataset, _failed_if(F.col("unknown_geo") == F.col("rows")), detail))
+
+
+def impossible_rule(dataset: str, bounds: Mapping[str, str], columns: Sequence[str]) -> Rule:
+    """Rows outside each bound; bounds on absent columns are left out."""
+    present = [(n, r) for n, r in bounds.items() if r.split()[0] in columns]
+    counts = {f"bound_{i}": F.expr(r) for i, (_, r) in enumerate(present)}
+    names = F.concat_ws("; ", *[F.when(F.col(f"bound_{i}") > 0, n) for i, (n, _) in enumerate(present)])
+    return Rule(counts, _entry("impossible_values", dataset, _failed_if(names != ""),
+                               F.when(names != "", names).otherwise("no impossible values")))
+
+
+def missing_prices_rule(dataset: str, price_days: Column) -> Rule:
+    """Records without a price are informational; so is a table without price days."""
+    n, silent = F.col("no_price"), price_days.isNull() | (price_days == 0)
+    detail = (F.when(n > 0, F.concat(n.cast("string"), F.lit(" rows without modal price")))
+              .when(price_days == 0, "no market price days observed").otherwise("price channel present"))
+    return Rule({"no_price": F.col("modal_price").isNull()}, _entry(
+        "missing_prices", dataset, F.when((n > 0) | silent, INFO).otherwise(PASS), detail))
+
+
 def absent(df: DataFrame, check: str, dataset: str, detail: str) -> DataFrame:
     """An informational row for a table that is not there; `df` only lends the session."""
     return df.limit(0).agg(F.count(F.lit(1)).alias("_n")).select(
@@ -66,57 +143,44 @@ def check_row_count(df: DataFrame, dataset: str, minimum: Column | int) -> DataF
 
 
 def check_duplicates(df: DataFrame, dataset: str, key: Sequence[str], what: str = "rows") -> DataFrame:
-    return duplicate_rows(df, key).select(*_row(
-        "duplicates", dataset, _failed_if(F.col("duplicates") > 0),
-        _counted("duplicates", f"duplicate {what}", f"no duplicate {what}")))
+    return run_rules(df, key, [duplicates_rule(dataset, what)])
 
 
 def check_empty_geography(df: DataFrame, dataset: str, columns: Sequence[str] = ("state", "district")) -> DataFrame:
-    empty = reduce(Column.__or__, [blank(c) for c in columns])
-    return df.agg(F.count_if(empty).alias("n")).select(*_row(
-        "missing_geo", dataset, _failed_if(F.col("n") > 0),
-        _counted("n", "rows with empty state/district", "no empty state/district")))
+    return run_rules(df, None, [empty_geography_rule(dataset, columns)])
+
+
+def known_districts(geo: DataFrame) -> DataFrame:
+    return geo.where(F.col("district").isNotNull()).select(F.lower("district").alias("_d")).distinct()
 
 
 def unknown_places(df: DataFrame, geo: DataFrame, column: str = "district") -> DataFrame:
     """Rows whose district is not monitored, by case-folded name."""
-    known = geo.where(F.col("district").isNotNull()).select(F.lower("district").alias("_d")).distinct()
-    return df.withColumn("_d", F.lower(column)).join(known, "_d", "left_anti").drop("_d")
+    return df.withColumn("_d", F.lower(column)).join(known_districts(geo), "_d", "left_anti").drop("_d")
 
 
-def check_unknown_places(df: DataFrame, dataset: str, geo: DataFrame) -> DataFrame:
-    """Fails only when every row lies outside the monitored districts."""
-    total = df.agg(F.count(F.lit(1)))
-    n = unknown_places(df, geo).agg(F.count(F.lit(1)).alias("n")).withColumn("total", total.scalar())
-    detail = F.concat(F.col("n").cast("string"), F.lit("/"), F.col("total").cast("string"),
-                      F.lit(" rows without a monitored district"))
-    return n.select(*_row("missing_geo", dataset, _failed_if(F.col("n") == F.col("total")), detail))
+def mark_unknown_places(df: DataFrame, geo: DataFrame, column: str = "district") -> DataFrame:
+    """Add `_unknown` instead of dropping the known rows."""
+    known = known_districts(geo).withColumn("_known", F.lit(True))
+    return (df.withColumn("_d", F.lower(column)).join(known, "_d", "left")
+            .withColumn("_unknown", F.col("_known").isNull()).drop("_d", "_known"))
 
 
-def count_broken(df: DataFrame, bounds: Mapping[str, str]) -> DataFrame:
-    """One row with the number of rows outside each bound, in one pass."""
-    return df.agg(*[F.count_if(F.expr(rule)).alias(name) for name, rule in bounds.items()])
+def check_unknown_places(df: DataFrame, dataset: str, geo: DataFrame) -> DataFrame:
+    return run_rules(mark_unknown_places(df, geo), None, [unknown_places_rule(dataset, F.col("_unknown"))])
 
 
 def check_impossible(df: DataFrame, dataset: str, bounds: Mapping[str, str]) -> DataFrame:
-    present = {n: r for n, r in bounds.items() if r.split()[0] in df.columns}
-    broken = count_broken(df, present)
-    names = F.concat_ws("; ", *[F.when(F.col(f"`{n}`") > 0, n) for n in present])
-    return broken.select(*_row("impossible_values", dataset, _failed_if(names != ""),
-                               F.when(names != "", names).otherwise("no impossible values")))
+    return run_rules(df, None, [impossible_rule(dataset, bounds, df.columns)])
+
+
+def price_day_count(region_features: DataFrame) -> DataFrame:
+    return region_features.agg(F.count_if(F.coalesce("n_price_records", F.lit(0)) > 0))
 
 
 def check_missing_prices(trades: DataFrame, region_features: DataFrame | None, dataset: str = "india_mandi") -> DataFrame:
-    """Records without a price are informational."""
-    missing = trades.agg(F.count_if(F.col("modal_price").isNull()).alias("n"))
-    days = (region_features.agg(F.count_if(F.coalesce("n_price_records", F.lit(0)) > 0)).scalar()
-            if region_features is not None else F.lit(None).cast("long"))
-    rows = missing.withColumn("days", days)
-    silent = F.col("days").isNull() | (F.col("days") == 0)
-    detail = (F.when(F.col("n") > 0, F.concat(F.col("n").cast("string"), F.lit(" rows without modal price")))
-              .when(F.col("days") == 0, "no market price days observed").otherwise("price channel present"))
-    return rows.select(*_row("missing_prices", dataset,
-                             F.when((F.col("n") > 0) | silent, INFO).otherwise(PASS), detail))
+    days = price_day_count(region_features).scalar() if region_features is not None else F.lit(None).cast("long")
+    return run_rules(trades, None, [missing_prices_rule(dataset, days)])
 
 
 def in_weather_window(region_features: DataFrame) -> DataFrame:
@@ -126,10 +190,13 @@ def in_weather_window(region_features: DataFrame) -> DataFrame:
 
 
 def check_missing_weather(region_features: DataFrame, dataset: str = "india_region_features") -> DataFrame:
-    n = in_weather_window(region_features).agg(
+    """Gaps on days with any temperature: counted per day first, so no join is needed."""
+    per_day = region_features.groupBy("date").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("temp_max_c").isNull()).alias("t"),
         F.count_if(F.col("humidity_pct").isNull()).alias("h"))
+    n = per_day.where(F.col("t") < F.col("n")).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "t", "h")])
     bad = (F.col("t") > 0) | (F.col("h") > 0)
     status = F.when(F.col("n") == 0, INFO).when(bad, FAIL).otherwise(PASS)
     detail = (F.when(F.col("n") == 0, "no weather window rows present")
@@ -175,21 +242,24 @@ def health_report(checks: DataFrame, as_of: Column) -> DataFrame:
 
 def artifact_checks(trades: DataFrame, agri: DataFrame, region_features: DataFrame, crop_summary: DataFrame,
                     geo: DataFrame, manifests: DataFrame, as_of: Column) -> DataFrame:
-    """All checks over the silver and gold tables."""
+    """All checks over the silver and gold tables, one pass per table and key."""
+    rf, cs = "india_region_features", "india_crop_summary"
+    marked = mark_unknown_places(crop_summary, geo)
     return combine([
-        check_duplicates(trades, "india_mandi", ["date", "state", "district", "apmc", "commodity", "variety"],
-                         "trade-day rows"),
-        check_duplicates(agri, "india_agriculture", ["state", "district", "crop", "season", "year"],
-                         "season-aware rows"),
-        check_duplicates(region_features, "india_region_features", ["region_name", "date"], "(region_name, date) rows"),
-        check_duplicates(crop_summary, "india_crop_summary", ["state", "district", "crop"],
-                         "(state, district, crop) rows"),
-        check_empty_geography(region_features, "india_region_features"),
-        check_empty_geography(crop_summary, "india_crop_summary"),
-        check_unknown_places(crop_summary, "india_crop_summary", geo),
-        check_impossible(region_features, "india_region_features", REGION_BOUNDS),
-        check_impossible(crop_summary, "india_crop_summary", CROP_BOUNDS),
-        check_missing_prices(trades, region_features),
+        run_rules(trades, ["date", "state", "district", "apmc", "commodity", "variety"], [
+            duplicates_rule("india_mandi", "trade-day rows"),
+            missing_prices_rule("india_mandi", price_day_count(region_features).scalar())]),
+        run_rules(agri, ["state", "district", "crop", "season", "year"], [
+            duplicates_rule("india_agriculture", "season-aware rows")]),
+        run_rules(region_features, ["region_name", "date"], [
+            duplicates_rule(rf, "(region_name, date) rows"),
+            empty_geography_rule(rf),
+            impossible_rule(rf, REGION_BOUNDS, region_features.columns)]),
+        run_rules(marked, ["state", "district", "crop"], [
+            duplicates_rule(cs, "(state, district, crop) rows"),
+            empty_geography_rule(cs),
+            unknown_places_rule(cs, F.col("_unknown")),
+            impossible_rule(cs, CROP_BOUNDS, crop_summary.columns)]),
         check_missing_weather(region_features),
         check_staleness(manifests, as_of),
     ])

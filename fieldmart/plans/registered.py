@@ -1,3 +1,10 @@
 """Importing this module registers every query."""
 
-from fieldmart.plans import climate_queries, crop_queries, market_queries, scenario_queries  # noqa: F401
+from fieldmart.plans import (  # noqa: F401
+    climate_queries,
+    crop_queries,
+    market_queries,
+    quality_queries,
+    scenario_queries,
+    text_queries,
+)
