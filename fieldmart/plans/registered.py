@@ -6,5 +6,6 @@ from fieldmart.plans import (  # noqa: F401
     market_queries,
     quality_queries,
     scenario_queries,
+    source_queries,
     text_queries,
 )

@@ -32,10 +32,10 @@ def geography(regions: DataFrame) -> DataFrame:
         F.col("longitude").cast("double").alias("longitude"))
 
 
-def read_regions(spark: SparkSession, path: str) -> DataFrame:
-    """The region list of a catalog document, or a bare list of regions."""
+def read_regions(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """The region lists of catalog documents, or bare lists of regions; one document per file or line."""
     fields = ", ".join(f"{c}: {'double' if c in ('latitude', 'longitude') else 'string'}" for c in REGION_FIELDS)
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.option("wholetext", not one_per_line).text(path)
     wrapped = F.from_json("value", f"struct<regions: array<struct<{fields}>>>")["regions"]
     bare = F.from_json("value", f"array<struct<{fields}>>")
     is_list = F.ltrim("value").startswith("[")
