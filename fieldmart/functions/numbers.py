@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fieldmart.functions.text import squeeze, strip
+from fieldmart.functions.text import squeeze, strip, trim_spaces
 
 # Texts the weather bulletins use for "no value".
 MISSING_MARKERS = ["", "n/a", "na", "--", "-", "nil", "nd", "nan", "none"]
 
-# A plain decimal number. Spark's own cast also takes Java suffixes such as '1d'.
-DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Anything but the characters of a decimal number: Spark's own cast also takes Java
+# spellings such as '1d', '0x1p3' or 'Infinity'.
+NOT_DECIMAL = r"[^0-9.eE+-]"
 
 
 def to_number(value: Column) -> Column:
     """Text to double, null when it is no number."""
-    text = value.cast("string")
-    return F.when(text.rlike(DECIMAL_TEXT), strip(text).try_cast("double"))
+    text = strip(value.cast("string"))
+    return F.when(~text.rlike(NOT_DECIMAL), text.try_cast("double"))
 
 
 def to_whole(value: Column) -> Column:
@@ -33,9 +34,10 @@ def to_day(value: Column) -> Column:
 
 def bulletin_number(value: Column) -> Column:
     """Bulletin figure to double: missing markers are null, '%' and ',' are dropped."""
-    text = strip(value.cast("string"))
-    bare = F.replace(F.regexp_replace(text, "%+$", ""), F.lit(","), F.lit(""))
-    return F.when(~F.lower(text).isin(MISSING_MARKERS), to_number(bare))
+    text = trim_spaces(value.cast("string"))
+    bare = trim_spaces(F.replace(F.regexp_replace(text, "%+$", ""), F.lit(","), F.lit("")))
+    missing = F.lower(text).isin(MISSING_MARKERS)
+    return F.when(~missing & ~bare.rlike(NOT_DECIMAL), bare.try_cast("double"))
 
 
 def crop_year_start(year: Column) -> Column:

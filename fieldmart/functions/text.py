@@ -11,14 +11,32 @@ LAKH = 100_000.0
 CRORE = 10_000_000.0
 
 
+# Every character Unicode counts as white space, and the four separators U+001C-U+001F.
+SPACES = ("\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+          "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
+def trim_spaces(text: Column) -> Column:
+    """Trim every Unicode space, not only U+0020 as plain `trim` does."""
+    return F.trim(text, F.lit(SPACES))
+
+
 def strip(text: Column) -> Column:
-    """Trim every Unicode space, not only U+0020 as `trim` does."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """`trim_spaces` for plain columns, several times faster on ordinary texts.
+
+    Texts that start and end in visible ASCII after a plain trim are done; two byte
+    comparisons tell, so the slow character-set trim only sees the rest. The input is
+    repeated in the expression, so composed expressions use `trim_spaces`.
+    """
+    trimmed = F.trim(text)
+    last = F.substring(trimmed, -1, 1)
+    done = (trimmed >= "!") & (trimmed < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(done, trimmed).otherwise(trim_spaces(trimmed))
 
 
 def squeeze(text: Column) -> Column:
     """Trim and collapse runs of whitespace to one space."""
-    return F.regexp_replace(strip(text), r"(?U)\s+", " ")
+    return F.regexp_replace(trim_spaces(text), r"(?U)\s+", " ")
 
 
 def match_key(text: Column) -> Column:
@@ -33,7 +51,7 @@ def location_key(text: Column) -> Column:
 
 def one_line(text: Column) -> Column:
     """Line breaks become one space; null becomes ''."""
-    return F.coalesce(strip(F.regexp_replace(text, r"[\r\n]+", " ")), F.lit(""))
+    return F.coalesce(trim_spaces(F.regexp_replace(text, r"[\r\n]+", " ")), F.lit(""))
 
 
 def filled(text: Column) -> Column:

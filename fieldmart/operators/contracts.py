@@ -144,39 +144,47 @@ def _bound_check(c: Col) -> tuple[str, Column] | None:
     return None
 
 
-def check_rows(df: DataFrame, contract: Contract) -> DataFrame:
-    """Coerce the contract columns and add `_violations`, one entry per broken rule.
+def _typed_rules(df: DataFrame, contract: Contract) -> tuple[DataFrame, list[tuple[str, str, Column, Column]]]:
+    """The coerced table and its rules: column, check, broken condition, failure case.
 
-    Columns outside the contract are kept. A missing contract column is an error.
+    A raw value that the type cannot hold is kept as text in a `_raw_` column.
     """
     missing = [n for n in contract.column_names if n not in df.columns]
     if missing:
         raise ContractViolation(f"{contract.name}: missing columns {missing}")
-    found: list[Column] = []
+    present = dict(df.dtypes)
+    cast = [c for c in contract.columns if present[c.name] != c.type.replace("long", "bigint")]
     typed = df.select(
         *[F.col(f"`{c}`") for c in df.columns if c not in contract.column_names],
-        *[F.col(f"`{c.name}`").try_cast(c.type).alias(c.name) for c in contract.columns],
-        *[(F.col(f"`{c.name}`").isNotNull() & F.col(f"`{c.name}`").try_cast(c.type).isNull())
-          .alias(f"_bad_{c.name}") for c in contract.columns if c.type != "string"],
-        F.struct(*[F.col(f"`{c.name}`") for c in contract.columns if c.type != "string"] or [F.lit(1)])
-        .alias("_raw"),
-    )
+        *[F.col(f"`{c.name}`").try_cast(c.type).alias(c.name) if c in cast else F.col(f"`{c.name}`")
+          for c in contract.columns],
+        *[F.when(F.col(f"`{c.name}`").try_cast(c.type).isNull(), F.col(f"`{c.name}`").cast("string"))
+          .alias(f"_raw_{c.name}") for c in cast])
+    rules: list[tuple[str, str, Column, Column]] = []
     for c in contract.columns:
-        value = F.col(f"`{c.name}`")
-        coerced = F.lit(False)
-        if c.type != "string":
-            coerced = F.col(f"_bad_{c.name}")
-            found.append(F.when(coerced, _failure(c.name, f"coerce_dtype('{c.type}')",
-                                                  F.col(f"_raw.`{c.name}`"))))
+        value, coerced = F.col(f"`{c.name}`"), F.lit(False)
+        if c in cast:
+            raw = F.col(f"_raw_{c.name}")
+            coerced = raw.isNotNull()
+            rules.append((c.name, f"coerce_dtype('{c.type}')", coerced, raw))
         if not c.nullable:
-            found.append(F.when(value.isNull() & ~coerced, _failure(c.name, "not_nullable", F.lit(None))))
+            rules.append((c.name, "not_nullable", value.isNull() & ~coerced, F.lit(None)))
         bound = _bound_check(c)
         if bound:
-            found.append(F.when(~bound[1], _failure(c.name, bound[0], value)))
-    for check in contract.checks:
-        found.append(F.when(~F.expr(check.condition), _failure("", check.name, F.lit("false"))))
-    helpers = [f"_bad_{c.name}" for c in contract.columns if c.type != "string"]
-    return typed.withColumn("_violations", F.array_compact(F.array(*found))).drop("_raw", *helpers)
+            rules.append((c.name, bound[0], ~bound[1], value))
+    rules += [("", check.name, ~F.expr(check.condition), F.lit("false")) for check in contract.checks]
+    return typed, rules
+
+
+def check_rows(df: DataFrame, contract: Contract) -> DataFrame:
+    """Coerce the contract columns and add `_violations`, one entry per broken rule.
+
+    Columns outside the contract are kept. A missing contract column is an error.
+    """
+    typed, rules = _typed_rules(df, contract)
+    found = F.array(*[F.when(bad, _failure(column, check, case)) for column, check, bad, case in rules])
+    helpers = [c for c in typed.columns if c.startswith("_raw_") and c not in df.columns]
+    return typed.withColumn("_violations", F.array_compact(found)).drop(*helpers)
 
 
 def clean_rows(checked: DataFrame) -> DataFrame:
@@ -189,14 +197,18 @@ def offending_rows(checked: DataFrame) -> DataFrame:
 
 def failure_report(checked: DataFrame, contract: Contract) -> DataFrame:
     """Long form: dataset, column, check, failure_case."""
-    return checked.where(F.size("_violations") > 0).select(
-        F.lit(contract.name).alias("dataset"), F.inline("_violations"))
-
-
-def failure_counts(checked: DataFrame, contract: Contract) -> DataFrame:
-    """Failures per column and rule, combined before the shuffle."""
-    return failure_report(checked, contract).groupBy("dataset", "column", "check").agg(
-        F.count(F.lit(1)).alias("failures"))
+    return checked.select(F.lit(contract.name).alias("dataset"), F.inline("_violations"))
+
+
+def failure_counts(df: DataFrame, contract: Contract) -> DataFrame:
+    """Failures per column and rule: one pass of counters, no row is shuffled."""
+    typed, rules = _typed_rules(df, contract)
+    counted = typed.agg(*[F.count_if(bad).alias(f"r{i}") for i, (_, _, bad, _) in enumerate(rules)])
+    entries = F.array(*[
+        F.struct(F.lit(contract.name).alias("dataset"), F.lit(column).alias("column"),
+                 F.lit(check).alias("check"), F.col(f"r{i}").alias("failures"))
+        for i, (column, check, _, _) in enumerate(rules)])
+    return counted.select(F.inline(entries)).where(F.col("failures") > 0)
 
 
 def validate(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:

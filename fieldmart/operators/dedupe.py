@@ -12,12 +12,13 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]
     """One row per key: the first by `order`, then by all remaining columns.
 
     The filter on `row_number` lets Spark cut each map task to one row per key
-    before the shuffle, so many copies of one key stay cheap.
+    before the shuffle, so many copies of one key stay cheap. The leading hash lets the
+    sorts compare one long before any text.
     """
     rest = [F.col(f"`{c}`") for c in df.columns if c not in key]
-    window = Window.partitionBy(*key).orderBy(*(order or []), *rest)
-    return (df.withColumn("_rn", F.row_number().over(window))
-            .where(F.col("_rn") == 1).drop("_rn"))
+    window = Window.partitionBy("_k", *key).orderBy(*(order or []), *rest)
+    return (df.withColumn("_k", F.xxhash64(*key)).withColumn("_rn", F.row_number().over(window))
+            .where(F.col("_rn") == 1).drop("_rn", "_k"))
 
 
 def duplicate_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:

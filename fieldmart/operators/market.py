@@ -36,14 +36,16 @@ def _by_day(trades: DataFrame, keys: Sequence[str], tie: Sequence[str], fields:
     """One row per key and day, combined before the shuffle.
 
     `_first` is the day's first record by `tie`, then by all its fields. A struct
-    keeps a null price null instead of taking the next record's.
+    keeps a null price null instead of taking the next record's. The hash `_k` of the
+    keys leads the grouping so that sorting compares one long instead of the texts.
     """
     record = F.struct(*fields)
     order = F.struct(*[c for c in tie if c not in keys], record)
     return (
         _with_keys(trades, [*keys, "date"])
         .withColumn("date", F.col("date").cast("date"))
-        .groupBy(*keys, "date")
+        .withColumn("_k", F.xxhash64(*keys))
+        .groupBy("_k", "date", *keys)
         .agg(F.min_by(record, order).alias("_first"),
              *[F.count(m).alias(f"_n_{m}") for m in measures],
              *[F.sum(m).alias(f"_s_{m}") for m in measures],
@@ -63,8 +65,8 @@ def _window_metrics(by_day: DataFrame, keys: Sequence[str], measures: Sequence[s
     The window anchors at each key's own latest day. Its input has one row per key
     and day, so a key never holds more rows than there are days.
     """
-    anchored = by_day.withColumn("_last", F.max("date").over(Window.partitionBy(*keys)))
-    return anchored.groupBy(*keys).agg(
+    anchored = by_day.withColumn("_last", F.max("date").over(Window.partitionBy("_k", *keys)))
+    return anchored.groupBy("_k", *keys).agg(
         F.max("date").alias("_latest_date"),
         F.count(F.lit(1)).alias("_days"),
         F.count(_recent("date")).alias("_window_days"),
@@ -110,10 +112,14 @@ def market_summary(trades: DataFrame, keys: Sequence[str] = SUMMARY_KEY,
 
 
 def latest_benchmark(summary: DataFrame, keys: Sequence[str], group: Sequence[str]) -> DataFrame:
-    """Per group, the price of the most recent line; the greatest key wins a tie."""
+    """Per group, the price of the most recent line; the greatest key wins a tie.
+
+    The whole line is kept until the last step: then this branch reads the same columns
+    as the summary itself and Spark reuses its shuffle instead of scanning twice.
+    """
     order = F.struct("latest_date", *[k for k in keys if k not in group])
     return summary.groupBy(*group).agg(
-        F.max_by(F.struct("latest_modal_price"), order).alias("_b")
+        F.max_by(F.struct(*summary.columns), order).alias("_b")
     ).select(*group, F.col("_b.latest_modal_price").alias("state_latest_modal_price"))
 
 

@@ -33,8 +33,11 @@ def normalize_trades(raw: DataFrame) -> DataFrame:
         return filled(F.col(source)) if source in raw.columns else F.lit("")
 
     def number(source: str) -> Column:
-        return to_number(F.col(source)) if source in raw.columns else F.lit(None).cast("double")
+        if types.get(source, "string") != "string":
+            return F.col(source).cast("double")
+        return to_number(F.col(source)) if source in types else F.lit(None).cast("double")
 
+    types = dict(raw.dtypes)
     picked = {"date": to_day(F.col("date")).cast("timestamp")}
     picked |= {c: text(s) for c, s in TRADE_TEXT.items()}
     picked |= {c: number(c) for c in ("min_price", "modal_price", "max_price", "arrival_quantity")}

@@ -31,8 +31,10 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     `quantiles` maps output column names to probabilities. Without keys the result
     has one row (none when there is no value).
     """
-    keys = list(keys)
-    v = F.col(value).cast("double")
+    names, v = list(keys), F.col(value).cast("double")
+    if names:  # a leading hash lets the sorts compare one long before any text
+        df = df.withColumn("_k", F.xxhash64(*names))
+    keys = ["_k", *names] if names else []
     counted = (
         df.where(v.isNotNull() & ~F.isnan(v))
         .groupBy(*keys, v.alias("_v"))
@@ -77,7 +79,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     result = ranked.groupBy(*keys).agg(*picks)
     if not keys:
         result = result.where(F.col("_t0").isNotNull())
-    return result.select(*keys, *outputs)
+    return result.select(*names, *outputs)
 
 
 def attach_quantiles(df: DataFrame, cohort: DataFrame,
