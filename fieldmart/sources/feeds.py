@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -162,12 +162,18 @@ def status_row(spark: SparkSession, status: str, reason: str, layer: str) -> Dat
     return spark.createDataFrame([(status, reason, layer)], schema)
 
 
+def _decoded(text: Column) -> Column:
+    """Percent-decoding that leaves a plain '+' alone."""
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def region_from_path(df: DataFrame, column: str = "region_name") -> DataFrame:
-    """Recover a partition value from the file path when the files do not carry it."""
-    pattern = f"{column}=([^/]*)"
-    encoded = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-    plain = F.replace(encoded, F.lit("+"), F.lit("%2B"))
-    return df.select("*", F.url_decode(F.url_decode(plain)).alias(column))
+    """Recover a partition value from the file path when the files do not carry it.
+
+    The path is a URI over an already escaped folder name, so it is decoded twice.
+    """
+    value = F.regexp_extract(F.col("_metadata.file_path"), f"{column}=([^/]*)", 1)
+    return df.select("*", _decoded(_decoded(value)).alias(column))
 
 
 def read_ignoring_partitions(spark: SparkSession, path: str) -> DataFrame:
