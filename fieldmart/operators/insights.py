@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmart.functions.labels import strongest_level, tercile_label
@@ -16,25 +16,34 @@ CARD = ["region_name", "title", "what", "why", "period", "source_method"]
 PRICE_SUFFIX = "_inr_per_quintal"
 
 # The card sentences.
-WEATHER_WHAT = "%s recorded %.1f°C average temperature and %.0f mm total precipitation over the window."
+WEATHER_WHAT = "%s recorded %s°C average temperature and %s mm total precipitation over the window."
 WEATHER_WHY = (
     "Compared with the %d monitored districts (cohort terciles), temperature is %s and "
     "precipitation is %s, giving an overall %s weather-exposure signal. "
     "Levels are relative to the observed cohort only."
 )
-MIX_WHAT = ("Highest observed price signal in %s is %s at ₹%,.0f/quintal "
-            "(%.0f%% of the observed basket).")
+MIX_WHAT = ("Highest observed price signal in %s is %s at ₹%s/quintal "
+            "(%s%% of the observed basket).")
 MIX_WHY = "Observed commodity prices (INR/quintal): %s."
 SEGMENT_WHAT = "%s is grouped as %s (exposure tier %s, dominant driver %s)."
 SEGMENT_PERIOD = "Observed weather window (see reason for tercile thresholds)."
 MODEL_TITLE = "Model signal: prototype (in-sample)"
 MODEL_WHAT = ("Prototype model estimates the market-price signal for %s on weather features at "
-              "₹%,.0f/quintal vs the observed ₹%,.0f/quintal.")
+              "₹%s/quintal vs the observed ₹%s/quintal.")
 MODEL_WHY = ("Linear-regression prototype; metrics are in-sample and must not be read as "
              "out-of-sample accuracy.")
 DIVERSIFIED_BELOW = 0.40
 
 
+def figure(value: Column, pattern: str) -> Column:
+    """A formatted number; a missing one reads 'nan'."""
+    return F.when(value.isNotNull(), F.format_string(pattern, value)).otherwise("nan")
+
+
+def money(value: Column) -> Column:
+    return figure(value, "%,.0f")
+
+
 def region_periods(daily: DataFrame) -> DataFrame:
     return daily.groupBy("region_name").agg(
         period_label(F.min("date"), F.max("date")).alias("period"))
@@ -57,7 +66,7 @@ def weather_cards(daily: DataFrame) -> DataFrame:
     return levels.select(
         "region_name",
         F.concat(F.lit("Weather exposure: "), "overall").alias("title"),
-        F.format_string(WEATHER_WHAT, "region_name", "t", "p").alias("what"),
+        F.format_string(WEATHER_WHAT, "region_name", figure(F.col("t"), "%.1f"), figure(F.col("p"), "%.0f")).alias("what"),
         F.format_string(WEATHER_WHY, "n", "t_level", "p_level", "overall").alias("why"),
         "period",
         F.lit("Mean temperature and summed precipitation of the daily region features.").alias("source_method"),
@@ -94,7 +103,7 @@ def mix_cards(daily: DataFrame) -> DataFrame | None:
     """Commodity mix cards; None without price columns."""
     if not price_columns(daily):
         return None
-    entry = F.concat("commodity", F.lit(" ₹"), F.format_number(F.round("price"), 0))
+    entry = F.concat("commodity", F.lit(" ₹"), money(F.col("price")))
     mix = ranked_mix(daily).groupBy("region_name").agg(
         F.min_by(F.struct("commodity", "price", "share"), "rank").alias("top"),
         F.array_sort(F.collect_list(F.struct("rank", entry.alias("entry")))).alias("basket"),
@@ -104,7 +113,8 @@ def mix_cards(daily: DataFrame) -> DataFrame | None:
         "region_name",
         F.concat(F.lit("Commodity mix: "), F.when(F.col("top.share") >= DIVERSIFIED_BELOW, top)
                  .otherwise("diversified")).alias("title"),
-        F.format_string(MIX_WHAT, "region_name", top, "top.price", F.col("top.share") * 100).alias("what"),
+        F.format_string(MIX_WHAT, "region_name", top, money(F.col("top.price")),
+                        figure(F.col("top.share") * 100, "%.0f")).alias("what"),
         F.format_string(MIX_WHY, F.concat_ws(", ", "basket.entry")).alias("why"),
         "period",
         F.lit("Market price columns of the daily region features.").alias("source_method"),
@@ -128,8 +138,8 @@ def model_cards(daily: DataFrame, forecast: DataFrame) -> DataFrame:
     return forecast.join(region_periods(daily), "region_name").select(
         "region_name",
         F.lit(MODEL_TITLE).alias("title"),
-        F.format_string(MODEL_WHAT, "region_name", "predicted_signal_inr_per_quintal",
-                        "actual_signal_inr_per_quintal").alias("what"),
+        F.format_string(MODEL_WHAT, "region_name", money(F.col("predicted_signal_inr_per_quintal")),
+                        money(F.col("actual_signal_inr_per_quintal"))).alias("what"),
         F.lit(MODEL_WHY).alias("why"),
         "period",
         F.lit("Forecast results and model report.").alias("source_method"),

@@ -289,12 +289,12 @@ def t2(t):
 define("mix_cards", """
     SELECT region_name, 'Commodity mix: ' || CASE WHEN share >= 0.40e0 THEN commodity ELSE 'diversified' END AS title,
            'Highest observed price signal in ' || region_name || ' is ' || commodity || ' at ₹'
-             || format('{:,}', cast(round(price) AS bigint)) || '/quintal (' || cast(round(share * 100) AS bigint)
+             || coalesce(format('{:,}', cast(round(price) AS bigint)), 'nan') || '/quintal (' || cast(round(share * 100) AS bigint)
              || '% of the observed basket).' AS what,
            'Observed commodity prices (INR/quintal): ' || basket || '.' AS why, period,
            'Market price columns of the daily region features.' AS source_method
     FROM mix JOIN periods USING (region_name) JOIN (
-        SELECT region_name, string_agg(commodity || ' ₹' || format('{:,}', cast(round(price) AS bigint)), ', ' ORDER BY rank) AS basket
+        SELECT region_name, string_agg(commodity || ' ₹' || coalesce(format('{:,}', cast(round(price) AS bigint)), 'nan'), ', ' ORDER BY rank) AS basket
         FROM mix GROUP BY 1) USING (region_name) WHERE rank = 1""", "mix", "periods")
 
 
@@ -348,7 +348,7 @@ define("model_cards", """
     SELECT region_name, 'Model signal: prototype (in-sample)' AS title,
            'Prototype model estimates the market-price signal for ' || region_name || ' on weather features at ₹'
              || format('{:,}', cast(round(predicted_signal_inr_per_quintal) AS bigint)) || '/quintal vs the observed ₹'
-             || coalesce(format('{:,}', cast(round(actual_signal_inr_per_quintal) AS bigint)), 'null') || '/quintal.' AS what,
+             || coalesce(format('{:,}', cast(round(actual_signal_inr_per_quintal) AS bigint)), 'nan') || '/quintal.' AS what,
            'Linear-regression prototype; metrics are in-sample and must not be read as out-of-sample accuracy.' AS why,
            period, 'Forecast results and model report.' AS source_method
     FROM estimates JOIN periods USING (region_name)""", "estimates", "periods")
