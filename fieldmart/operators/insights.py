@@ -57,8 +57,8 @@ def weather_cards(daily: DataFrame) -> DataFrame:
         period_label(F.min("date"), F.max("date")).alias("period"),
     )
     cohort = attach_quantiles(regions, regions, {
-        "t_lo": ("t", LOWER), "t_hi": ("t", UPPER), "p_lo": ("p", LOWER), "p_hi": ("p", UPPER),
-    }).withColumn("n", regions.agg(F.count(F.lit(1))).scalar())
+        "p_lo": ("p", LOWER), "p_hi": ("p", UPPER), "t_lo": ("t", LOWER), "t_hi": ("t", UPPER),
+    }, count_as="n")
     levels = cohort.withColumns({
         "t_level": tercile_label(F.col("t"), F.col("t_lo"), F.col("t_hi")),
         "p_level": tercile_label(F.col("p"), F.col("p_lo"), F.col("p_hi")),

@@ -32,8 +32,8 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _by_day(trades: DataFrame, keys: Sequence[str], tie: Sequence[str], fields: Sequence[str],
-            measures: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
-    """One row per key and day, combined before the shuffle.
+            measures: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """One row per key and day (and `within`), combined before the shuffle.
 
     `_first` is the day's first record by `tie`, then by all its fields. A struct
     keeps a null price null instead of taking the next record's. The hash `_k` of the
@@ -45,11 +45,10 @@ def _by_day(trades: DataFrame, keys: Sequence[str], tie: Sequence[str], fields:
         _with_keys(trades, [*keys, "date"])
         .withColumn("date", F.col("date").cast("date"))
         .withColumn("_k", F.xxhash64(*keys))
-        .groupBy("_k", "date", *keys)
+        .groupBy("_k", "date", *keys, *within)
         .agg(F.min_by(record, order).alias("_first"),
              *[F.count(m).alias(f"_n_{m}") for m in measures],
-             *[F.sum(m).alias(f"_s_{m}") for m in measures],
-             *extra)
+             *[F.sum(m).alias(f"_s_{m}") for m in measures])
     )
 
 
@@ -59,18 +58,25 @@ def _recent(column: str) -> Column:
 
 
 def _window_metrics(by_day: DataFrame, keys: Sequence[str], measures: Sequence[str],
-                    extra: Sequence[Column] = ()) -> DataFrame:
+                    within: Sequence[str] = (), extra: Sequence[Column] = ()) -> DataFrame:
     """Latest record and trailing-window averages per key.
 
     The window anchors at each key's own latest day. Its input has one row per key
-    and day, so a key never holds more rows than there are days.
+    and day (and `within`, whose smallest value gives the latest record), so a key
+    never holds more rows than there are days. Days are counted as a set, which is
+    just as small and needs no further shuffle.
     """
     anchored = by_day.withColumn("_last", F.max("date").over(Window.partitionBy("_k", *keys)))
+    newest_first = F.struct(F.datediff("_last", "date"), *within)
+
+    def days(day: Column) -> Column:
+        return (F.size(F.collect_set(day)).cast("long") if within else F.count(day))
+
     return anchored.groupBy("_k", *keys).agg(
         F.max("date").alias("_latest_date"),
-        F.count(F.lit(1)).alias("_days"),
-        F.count(_recent("date")).alias("_window_days"),
-        F.max_by("_first", "date").alias("_latest"),
+        days(F.col("date")).alias("_days"),
+        days(_recent("date")).alias("_window_days"),
+        F.min_by("_first", newest_first).alias("_latest"),
         *[F.sum(_recent(f"_n_{m}")).alias(f"_wn_{m}") for m in measures],
         *[F.sum(_recent(f"_s_{m}")).alias(f"_ws_{m}") for m in measures],
         *extra,
@@ -149,11 +155,11 @@ def commodity_block(trades: DataFrame, price_unit: str | None = PRICE_UNIT,
     """
     rows = in_unit(trades, price_unit, "price_unit")
     fields = ["min_price", "modal_price", "max_price"]
-    by_day = _by_day(rows, keys, ["apmc", *tie], fields, ["modal_price"])
-    w = _window_metrics(by_day, keys, ["modal_price"], [F.sum("_n_modal_price").alias("n_market_records")])
-    markets = _with_keys(rows, [*keys, "date"]).groupBy(*keys).agg(F.count_distinct("apmc").alias("n_markets"))
+    by_day = _by_day(rows, keys, tie, fields, ["modal_price"], within=["apmc"])
+    w = _window_metrics(by_day, keys, ["modal_price"], ["apmc"], [
+        F.sum("_n_modal_price").alias("n_market_records"), F.count_distinct("apmc").alias("n_markets")])
     avg_price = mean_of(F.col("_ws_modal_price"), F.col("_wn_modal_price"))
-    return w.join(markets, list(keys)).select(
+    return w.select(
         *keys,
         "n_market_records",
         "n_markets",

@@ -21,24 +21,27 @@ _OCTAVE_SHIFT = 1100  # keeps the bucket of the smallest positive double above z
 
 def _bucket(value):
     size = F.floor(F.log2(F.abs(value)) * BUCKETS_PER_OCTAVE) + _OCTAVE_SHIFT * BUCKETS_PER_OCTAVE
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("long"))
+    signed = F.when(value > 0, size).when(value < 0, -size)
+    return F.coalesce(signed, F.lit(0).cast("long"))  # never null, so joins add no filter to one branch only
 
 
-def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                    quantiles: Mapping[str, float]) -> DataFrame:
+def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float],
+                    weight: str | None = None, count_as: str | None = None) -> DataFrame:
     """Linear-interpolated quantiles of `value` per key, nulls ignored.
 
-    `quantiles` maps output column names to probabilities. Without keys the result
-    has one row (none when there is no value).
+    `quantiles` maps output column names to probabilities, `weight` names a column of
+    copy counts (0 for a null value), `count_as` an output column for the number of
+    values. Without keys the result has one row (none when there is no value).
     """
     names, v = list(keys), F.col(value).cast("double")
     if names:  # a leading hash lets the sorts compare one long before any text
         df = df.withColumn("_k", F.xxhash64(*names))
     keys = ["_k", *names] if names else []
+    present = F.col(weight) > 0 if weight else v.isNotNull() & ~F.isnan(v)
     counted = (
-        df.where(v.isNotNull() & ~F.isnan(v))
+        df.where(present)
         .groupBy(*keys, v.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_c"))
         .withColumn("_b", _bucket(F.col("_v")))
     )
     group = Window.partitionBy(*keys)  # holds bucket totals only, a bounded number
@@ -76,25 +79,33 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                   F.max(F.lit(float(p)) * (F.col("_total") - 1) - lo).alias(f"_t{i}")]
         outputs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_t{i}"))
                        .alias(name))
+    if count_as:
+        picks.append(F.max("_total").alias(count_as))
+        outputs.append(F.col(count_as))
     result = ranked.groupBy(*keys).agg(*picks)
     if not keys:
         result = result.where(F.col("_t0").isNotNull())
     return result.select(*names, *outputs)
 
 
-def attach_quantiles(df: DataFrame, cohort: DataFrame,
-                     wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
-    """Add cohort-wide quantiles to every row as scalar subqueries (no join).
+def attach_quantiles(df: DataFrame, cohort: DataFrame, wanted: Mapping[str, tuple[str, float]],
+                     count_as: str | None = None) -> DataFrame:
+    """Add cohort-wide quantiles to every row as one scalar subquery (no join).
 
-    `wanted` maps an output column to (cohort column, probability).
+    `wanted` maps an output column to (cohort column, probability). All columns are
+    ranked in one pass over the cohort in long form; `count_as` adds the number of
+    values of the first wanted column.
     """
-    by_column: dict[str, dict[str, float]] = {}
-    for name, (column, p) in wanted.items():
-        by_column.setdefault(column, {})[name] = p
-    out = df
-    for column, quantiles in by_column.items():
-        packed = group_quantiles(cohort, [], column, quantiles).select(
-            F.struct(*quantiles).alias("_q"))
-        out = out.withColumn("_q", packed.scalar())
-        out = out.select("*", *[F.col(f"_q.{n}").alias(n) for n in quantiles]).drop("_q")
-    return out
+    columns = list(dict.fromkeys(column for column, _ in wanted.values()))
+    probabilities = {f"_q{i}": p for i, p in enumerate(dict.fromkeys(p for _, p in wanted.values()))}
+    name_of = {p: name for name, p in probabilities.items()}
+    long = cohort.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [], columns, "_column", "_value")
+    ranked = group_quantiles(long, ["_column"], "_value", probabilities, count_as="_n")
+    picks = [F.max(F.when(F.col("_column") == column, F.col(name_of[p]))).alias(name)
+             for name, (column, p) in wanted.items()]
+    if count_as:
+        picks.append(F.max(F.when(F.col("_column") == columns[0], F.col("_n"))).alias(count_as))
+    row = ranked.agg(*picks)
+    out = df.withColumn("_row", row.select(F.struct("*")).scalar())
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], "_row.*")

@@ -35,15 +35,23 @@ def map_region(trades: DataFrame, geo: DataFrame, order: tuple[str, ...] = ("reg
 
 
 def price_block(mapped: DataFrame, price_unit: str | None = PRICE_UNIT) -> DataFrame:
-    """Per region and day: exact median price, priced records, markets and commodities."""
-    rows = in_unit(mapped, price_unit, "price_unit").where(
-        F.col("region_name").isNotNull() & F.col("date").isNotNull())
-    counts = rows.groupBy(*KEY).agg(
-        F.count("modal_price").alias("n_price_records"),
+    """Per region and day: exact median price, priced records, markets and commodities.
+
+    Counts and medians both start from one table of distinct (market, commodity, price)
+    entries with their number of records, so the trades are scanned and shuffled once.
+    """
+    entries = (
+        in_unit(mapped, price_unit, "price_unit")
+        .where(F.col("region_name").isNotNull() & F.col("date").isNotNull())
+        .groupBy(*KEY, "apmc", "commodity", "modal_price")
+        .agg(F.count("modal_price").alias("priced"))
+    )
+    counts = entries.groupBy(*KEY).agg(
+        F.sum("priced").alias("n_price_records"),
         F.count_distinct("apmc").alias("n_price_markets"),
         F.count_distinct("commodity").alias("n_price_commodities"),
     )
-    medians = group_quantiles(rows, KEY, "modal_price", {"median_modal_price_rq": 0.5})
+    medians = group_quantiles(entries, KEY, "modal_price", {"median_modal_price_rq": 0.5}, weight="priced")
     return counts.join(medians, KEY, "left")
 
 
