@@ -17,13 +17,20 @@ NOT_DECIMAL = r"[^0-9.eE+-]"
 
 def to_number(value: Column) -> Column:
     """Text to double, null when it is no number."""
-    text = strip(value.cast("string"))
+    return parsed_number(strip(value.cast("string")))
+
+
+def parsed_number(text: Column) -> Column:
+    """An already trimmed text to double."""
     return F.when(~text.rlike(NOT_DECIMAL), text.try_cast("double"))
 
 
 def to_whole(value: Column) -> Column:
     """Text to a nullable long; '28.0' is 28, '28.5' is null."""
-    number = to_number(value)
+    return whole_number(to_number(value))
+
+
+def whole_number(number: Column) -> Column:
     return F.when(number == F.floor(number), number.try_cast("long"))
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.functions.numbers import crop_year_start, to_day, to_number, to_whole
-from fieldmart.functions.text import filled, squeeze, strip
+from fieldmart.functions.numbers import crop_year_start, parsed_number, to_day, whole_number
+from fieldmart.functions.text import finish_trim, squeeze
 
 # Source column -> canonical column.
 TRADE_TEXT = {
@@ -15,6 +15,7 @@ TRADE_TEXT = {
     "market_center_code": "market_center_code", "commodity": "commodity_name",
     "commodity_id": "commodity_id", "variety": "variety", "grade": "grade",
 }
+TRADE_NUMBERS = ["min_price", "modal_price", "max_price", "arrival_quantity"]
 TRADE_COLUMNS = [
     "date", "state", "state_code", "district", "district_code",
     "apmc", "market_center_code", "commodity", "commodity_id",
@@ -27,22 +28,32 @@ CROP_COLUMNS = [
 ]
 
 
+def _trimmed(df: DataFrame, texts: dict[str, Column], kept: dict[str, Column] | None = None) -> DataFrame:
+    """Trimmed texts under their new names, next to `kept` expressions.
+
+    Two projections instead of one: Spark compiles each into its own small method,
+    and a single large one would be too big for the JVM to optimize.
+    """
+    rest = kept or {}
+    first = df.select(*[F.trim(e).alias(c) for c, e in texts.items()], *[e.alias(c) for c, e in rest.items()])
+    return first.select(*[finish_trim(F.col(f"`{c}`")).alias(c) for c in texts], *[F.col(f"`{c}`") for c in rest])
+
+
 def normalize_trades(raw: DataFrame) -> DataFrame:
-    """One projection: absent text columns are '', absent numbers null, bad dates drop out."""
-    def text(source: str) -> Column:
-        return filled(F.col(source)) if source in raw.columns else F.lit("")
+    """Renamed and typed: absent texts are '', absent numbers null, bad dates drop out."""
+    present = dict(raw.dtypes)
 
-    def number(source: str) -> Column:
-        if types.get(source, "string") != "string":
-            return F.col(source).cast("double")
-        return to_number(F.col(source)) if source in types else F.lit(None).cast("double")
+    def text(source: str) -> Column:
+        return F.coalesce(F.col(source).cast("string"), F.lit("")) if source in present else F.lit("")
 
-    types = dict(raw.dtypes)
-    picked = {"date": to_day(F.col("date")).cast("timestamp")}
-    picked |= {c: text(s) for c, s in TRADE_TEXT.items()}
-    picked |= {c: number(c) for c in ("min_price", "modal_price", "max_price", "arrival_quantity")}
-    picked |= {c: text(c) for c in ("price_unit", "arrival_units")}
-    return raw.select(*[picked[c].alias(c) for c in TRADE_COLUMNS]).where(F.col("date").isNotNull())
+    typed = {c: F.col(c).cast("double") for c in TRADE_NUMBERS if present.get(c, "string") != "string"}
+    texts = {c: text(s) for c, s in TRADE_TEXT.items()} | {c: text(c) for c in ("price_unit", "arrival_units")}
+    texts |= {c: text(c) for c in TRADE_NUMBERS if c not in typed}
+    dated = _trimmed(raw, texts, {"date": to_day(F.col("date")).cast("timestamp"), **typed}).where(
+        F.col("date").isNotNull())
+    return dated.select(*[
+        parsed_number(F.col(c)).alias(c) if c in TRADE_NUMBERS and c not in typed else F.col(c)
+        for c in TRADE_COLUMNS])
 
 
 def canonical_crops(df: DataFrame, registry: DataFrame, name: str = "crop_name") -> DataFrame:
@@ -65,22 +76,21 @@ def normalize_crops(raw: DataFrame, registry: DataFrame) -> DataFrame:
     gets a unique, increasing one.
     """
     df = canonical_crops(raw, registry)
-
-    def optional(source: str, parse) -> Column:
-        return parse(F.col(f"`{source}`")) if source in raw.columns else parse(F.lit(None).cast("string"))
-
-    return df.select(
-        (F.col("id").try_cast("long") if "id" in raw.columns else F.monotonically_increasing_id()).alias("id"),
-        strip(F.col("year").cast("string")).alias("year"),
-        crop_year_start(F.col("year")).alias("year_start"),
-        strip(F.col("state_name").cast("string")).alias("state"),
-        optional("state_code", to_whole).alias("state_code"),
-        strip(F.col("district_name").cast("string")).alias("district"),
-        optional("district_code", to_whole).alias("district_code"),
-        F.col("crop"),
-        (filled(F.col("crop_type")) if "crop_type" in raw.columns else F.col("category")).alias("crop_type"),
-        strip(F.col("season").cast("string")).alias("season"),
-        to_number(F.col("area")).alias("area"),
-        optional("production", to_number).alias("production"),
-        optional("yield", to_number).alias("yield"),
-    )
+    texts = {"year": "year", "state": "state_name", "district": "district_name", "season": "season"}
+    numbers = [c for c in ("state_code", "district_code", "area", "production", "yield") if c in raw.columns]
+    columns = {c: F.col(s).cast("string") for c, s in texts.items()}
+    columns |= {f"_{c}": F.col(f"`{c}`").cast("string") for c in numbers}
+    columns["crop_type"] = (F.coalesce(F.col("crop_type").cast("string"), F.lit("")) if "crop_type" in raw.columns
+                            else F.col("category"))
+    ids = F.col("id").try_cast("long") if "id" in raw.columns else F.monotonically_increasing_id()
+    trimmed = _trimmed(df, columns, {"id": ids, "crop": F.col("crop")})
+
+    def number(name: str) -> Column:
+        return parsed_number(F.col(f"_{name}")) if name in numbers else F.lit(None).cast("double")
+
+    return trimmed.select(
+        "id", "year", crop_year_start(F.col("year")).alias("year_start"),
+        "state", whole_number(number("state_code")).alias("state_code"),
+        "district", whole_number(number("district_code")).alias("district_code"),
+        "crop", "crop_type", "season",
+        *[number(c).alias(c) for c in ("area", "production", "yield")])
