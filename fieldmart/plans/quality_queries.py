@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from fieldmart.operators import catalog as G
 from fieldmart.operators import contracts as V
+from fieldmart.operators import crops as K
 from fieldmart.operators import dedupe as D
 from fieldmart.operators import quality as Q
 from fieldmart.plans.base import define, query
-from fieldmart.plans.crop_queries import crop_summary
 from fieldmart.plans.market_queries import market_rows, region_days
+from fieldmart.session import materialized
 
 FAILURES = "dataset, \"column\", \"check\", failures"
 
@@ -271,7 +272,10 @@ def q8(t):
 
 
 def all_checks(t):
-    return Q.artifact_checks(t.trades, t.agri, region_days(t), crop_summary(t), t.geo, manifests(t), as_of())
+    """The checks read written tables, as monitoring does: each is computed once."""
+    features = materialized(region_days(t), "region_features")
+    crops = materialized(K.crop_summary(t.agri, t.trades, features, "F", ["row_id"]), "crop_summary")
+    return Q.artifact_checks(t.trades, t.agri, features, crops, t.geo, manifests(t), as_of())
 
 
 @query("X1_check_union", """

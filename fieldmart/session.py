@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -46,3 +46,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="fieldmart-")
         spark.conf.set(CHECKPOINT_CONF, base)
     return f"{base.rstrip('/')}/fieldmart/{label}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the scratch folder, for results that several steps read."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
