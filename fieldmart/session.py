@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,17 +33,13 @@ def build_session(app: str = "fieldmart", master: str | None = None,
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+    """A fresh folder for a table that later steps read.
 
-    Executors on other machines must see what is written here, so a machine-local
-    folder is used only when the whole session runs in one local JVM.
+    It lies under the shared folder of `spark.checkpoint.dir`. Where that is unset, it lies
+    under the warehouse folder, which every executor of a session shares as well; so the
+    rule is the same for every master, and nothing goes to a machine's own temporary folder.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="fieldmart-")
-        spark.conf.set(CHECKPOINT_CONF, base)
+    base = spark.conf.get(CHECKPOINT_CONF, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/fieldmart/{label}-{uuid.uuid4().hex}"
 
 

@@ -6,9 +6,9 @@ from fieldmart.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[*]", 8, spark__driver__memory="6g", spark__ui__enabled="false",
+        "tests", "local[*]", 8, spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}", spark__driver__memory="6g", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("OFF")
     yield session

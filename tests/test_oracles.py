@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fieldmart.plans import base
 from fieldmart.plans.base import BASE_TABLES
 from tools.check_oracles import compare
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = base.QUERIES, base.oracle_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables absent")
 
 
