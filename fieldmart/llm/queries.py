@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmart.llm import bpe, exact_dedup, pii, token_count
+from fieldmart.llm import bpe, embedding_dedup, exact_dedup, mixing, pii, quality, token_count, warc
 from fieldmart.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,36 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_token_count")
 def op8_token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_tokens(table(spark, folder, "documents"), bpe.default_vocabulary())
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.grade_documents(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
+@query("op10_mixing")
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+@query("op4_warc", """
+with p as (select page_id, coalesce(html, '') as payload from pages),
+q as (select page_id, octet_length(encode(payload)) as payload_bytes, sha1(payload) as digest,
+             max(page_id) over (partition by payload) as newest from p)
+select page_id, payload_bytes,
+       list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform(range(0, 4), lambda j:
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((('0x' || digest[5 * i + 1 : 5 * i + 5])::int >> (15 - 5 * j)) & 31)::int + 1]),
+           'string_agg', '')), 'string_agg', '') as payload_digest,
+       case when page_id = newest then 'response' else 'revisit' end as record_type,
+       case when page_id <> newest then newest end as refers_to
+from q""")
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = warc.archive_folder(spark)
+    index = warc.write_archives(table(spark, folder, "pages"), archive)
+    return warc.read_records(index, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_embedding_dedup")
+def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
