@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmart.llm import bpe, embedding_dedup, exact_dedup, mixing, pii, quality, token_count, warc
+from fieldmart.llm import bpe, embedding_dedup, exact_dedup, jaccard_join, mixing, pii, quality, token_count, warc
 from fieldmart.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,8 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_embedding_dedup")
 def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"), words=3, percent=90)
