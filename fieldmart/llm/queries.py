@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmart.llm import bpe, embedding_dedup, exact_dedup, jaccard_join, mixing, pii, quality, token_count, warc
+from fieldmart.llm import bpe, embedding_dedup, exact_dedup, jaccard_join, mixing, pii, quality, suffix_dedup, token_count, warc
 from fieldmart.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_jaccard_join")
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, folder, "documents"), words=3, percent=90)
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
