@@ -11,6 +11,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from fieldmart.session import materialized
 
@@ -21,7 +22,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows turned into Python objects at a time inside a task.
 ROWS_AT_A_TIME = 256
 
-__all__ = ["LOWER", "ROWS_AT_A_TIME", "UPPER", "WORD", "lower_ascii", "materialized", "row_key", "ship", "slices", "text_rows"]
+__all__ = ["LOWER", "ROWS_AT_A_TIME", "UPPER", "WORD", "first_of_each", "lower_ascii", "materialized", "row_key", "ship", "slices", "text_rows"]
 
 
 def ship(spark: SparkSession) -> None:
@@ -44,6 +45,12 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
             F.xxhash64(doc_id.isNull(), F.coalesce(text, F.lit(""))).alias("k2")]
 
 
+def first_of_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row of each key; rows of one key are taken to be alike."""
+    place = F.row_number().over(W.partitionBy(*keys).orderBy(keys[0]))
+    return rows.withColumn("_place", place).filter("_place = 1").drop("_place")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_A_TIME) -> Iterator[pa.RecordBatch]:
     """The same rows in small batches, so that only few texts are Python objects at once."""
     for batch in batches:

@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.llm.common import lower_ascii, materialized
+from fieldmart.llm.common import first_of_each, lower_ascii, materialized
 
 BLOCK_BYTES = 4096
 
@@ -99,10 +99,9 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
 
 def drop_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns: of equal rows of one id and text, one."""
+    """The rows that stay, with all their columns; of rows repeated with id and text one."""
     kept = exact_duplicates(docs, id_column, text_column).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    data = lower_ascii(F.col(text_column)).cast("binary")
-    marked = docs.withColumn("_sha", F.sha2(data, 256)).withColumn("_id", F.col(id_column))
-    same = marked["_id"].eqNullSafe(kept["_id"]) & (marked["_sha"] == kept["_sha"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["_id", "_sha"]).select(*docs.columns)
+        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    marked = docs.withColumn("_id", F.col(id_column)).withColumn("_sha", F.sha2(lower_ascii(F.col(text_column)).cast("binary"), 256))
+    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
+    return first_of_each(marked.join(kept, same, "left_semi"), "_id", "_sha").select(*docs.columns)
