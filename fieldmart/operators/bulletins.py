@@ -136,9 +136,9 @@ def split_malformed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def require_wellformed(rows: DataFrame) -> DataFrame:
-    """The rows, or an error naming up to five malformed reasons."""
+    """The rows, or an error naming the malformed reasons; they are a fixed set of texts."""
     good, bad = split_malformed(rows)
-    reasons = [r[0] for r in bad.select("malformed").distinct().limit(5).collect()]
+    reasons = sorted(r[0] for r in bad.select("malformed").distinct().collect())
     if reasons:
         raise MalformedRecords("; ".join(reasons))
     return good
@@ -149,14 +149,15 @@ def at_location(rows: DataFrame, place: str, column: str = "district") -> DataFr
     return rows.where(location_key(F.col(column)) == location_key(F.lit(place)))
 
 
-def available_places(rows: DataFrame, column: str = "district", limit: int = 25) -> DataFrame:
-    """The first place names in order, for the message about an unknown place."""
-    return rows.select(column).distinct().orderBy(column).limit(limit)
+def available_places(rows: DataFrame, column: str = "district") -> DataFrame:
+    """All place names."""
+    return rows.select(column).distinct()
 
 
 def require_location(rows: DataFrame, place: str, column: str = "district") -> DataFrame:
     found = at_location(rows, place, column)
     if found.isEmpty():
-        names = [r[0] for r in available_places(rows, column).collect()]
+        # the message shows a first few names; `available_places` has them all
+        names = [r[0] for r in available_places(rows, column).orderBy(column).take(25) if r[0]]
         raise LookupError(f"{column} '{place}' not found. Available: {', '.join(names)}")
     return found

@@ -8,7 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.functions.text import strip
+from fieldmart.functions.text import SPACES, strip
+
+#: The characters that count as blank, as a SQL literal.
+SPACE_TEXT = "'" + "".join(f"\\u{ord(c):04x}" for c in SPACES) + "'"
 
 
 class ContractViolation(Exception):
@@ -95,7 +98,7 @@ AGRICULTURE = Contract("india_agriculture", [
 ], [
     Check("a row must carry area, production, or yield",
           "production is not null or `yield` is not null or area is not null"),
-    Check("season must be non-empty when present", "trim(season) <> ''"),
+    Check("season must be non-empty when present", f"trim(BOTH {SPACE_TEXT} FROM season) <> ''"),
 ])
 
 TRADES = Contract("india_mandi", [
@@ -117,8 +120,8 @@ TRADES = Contract("india_mandi", [
     Col("arrival_quantity", "double", nullable=True, low=0),
     Col("arrival_units", "string", nullable=True),
 ], [
-    Check("commodity must be a non-empty string", "trim(commodity) <> ''"),
-    Check("apmc must be a non-empty string", "trim(apmc) <> ''"),
+    Check("commodity must be a non-empty string", f"trim(BOTH {SPACE_TEXT} FROM commodity) <> ''"),
+    Check("apmc must be a non-empty string", f"trim(BOTH {SPACE_TEXT} FROM apmc) <> ''"),
     Check("min_price must be <= modal_price when both present", "min_price <= modal_price"),
     Check("modal_price must be <= max_price when both present", "modal_price <= max_price"),
 ])

@@ -58,25 +58,18 @@ def _recent(column: str) -> Column:
 
 
 def _window_metrics(by_day: DataFrame, keys: Sequence[str], measures: Sequence[str],
-                    within: Sequence[str] = (), extra: Sequence[Column] = ()) -> DataFrame:
+                    extra: Sequence[Column] = ()) -> DataFrame:
     """Latest record and trailing-window averages per key.
 
     The window anchors at each key's own latest day. Its input has one row per key
-    and day (and `within`, whose smallest value gives the latest record), so a key
-    never holds more rows than there are days. Days are counted as a set, which is
-    just as small and needs no further shuffle.
+    and day, so a key never holds more rows than there are days.
     """
     anchored = by_day.withColumn("_last", F.max("date").over(Window.partitionBy("_k", *keys)))
-    newest_first = F.struct(F.datediff("_last", "date"), *within)
-
-    def days(day: Column) -> Column:
-        return (F.size(F.collect_set(day)).cast("long") if within else F.count(day))
-
     return anchored.groupBy("_k", *keys).agg(
         F.max("date").alias("_latest_date"),
-        days(F.col("date")).alias("_days"),
-        days(_recent("date")).alias("_window_days"),
-        F.min_by("_first", newest_first).alias("_latest"),
+        F.count("date").alias("_days"),
+        F.count(_recent("date")).alias("_window_days"),
+        F.max_by("_first", "date").alias("_latest"),
         *[F.sum(_recent(f"_n_{m}")).alias(f"_wn_{m}") for m in measures],
         *[F.sum(_recent(f"_s_{m}")).alias(f"_ws_{m}") for m in measures],
         *extra,
@@ -151,13 +144,18 @@ def commodity_block(trades: DataFrame, price_unit: str | None = PRICE_UNIT,
                     keys: Sequence[str] = ("district", "commodity"), tie: Sequence[str] = ()) -> DataFrame:
     """Market aggregates per district and commodity within one price unit.
 
-    The latest record is the one of the alphabetically first market.
+    The latest record is the one of the alphabetically first market. Markets are folded
+    into days before the window, and counted apart, so no task holds days times markets.
     """
     rows = in_unit(trades, price_unit, "price_unit")
     fields = ["min_price", "modal_price", "max_price"]
-    by_day = _by_day(rows, keys, tie, fields, ["modal_price"], within=["apmc"])
-    w = _window_metrics(by_day, keys, ["modal_price"], ["apmc"], [
-        F.sum("_n_modal_price").alias("n_market_records"), F.count_distinct("apmc").alias("n_markets")])
+    by_market = _by_day(rows, keys, tie, fields, ["modal_price"], within=["apmc"])
+    by_day = by_market.groupBy("_k", "date", *keys).agg(
+        F.min_by("_first", F.struct("apmc")).alias("_first"),
+        F.sum("_n_modal_price").alias("_n_modal_price"), F.sum("_s_modal_price").alias("_s_modal_price"))
+    metrics = _window_metrics(by_day, keys, ["modal_price"], [F.sum("_n_modal_price").alias("n_market_records")])
+    markets = by_market.groupBy("_k", *keys).agg(F.count_distinct("apmc").alias("n_markets"))
+    w = metrics.join(markets, ["_k", *keys])
     avg_price = mean_of(F.col("_ws_modal_price"), F.col("_wn_modal_price"))
     return w.select(
         *keys,

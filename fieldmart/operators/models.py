@@ -19,7 +19,7 @@ MAX_ITER = 300
 MAX_DEPTH = 3
 STEP_SIZE = 0.06
 SEED = 42
-MIN_ROWS_FOR_SPLIT = 15
+SMALL_SAMPLE = 15
 PRICE_FEATURES = ["avg_temp_c", "total_precip_mm", "avg_humidity_pct"]
 PRICE_TARGET = "market_price_signal_inr_per_quintal"
 
@@ -87,13 +87,14 @@ def run_forecast(crop_year: DataFrame, validate: int = P.VALIDATE_YEARS, test: i
     held_out = scored.where(F.col("split") == "test")
     spread = P.residual_spread(held_out, column).first()["residual_std_log"]
     anchor = years[-1]
+    final = boosted_trees(max_iter).fit(rows) if chosen == "gradient_boosting" else None
     return ForecastRun(
-        forecast=forecast_frame(lagged, rows, boosted_trees(max_iter).fit(rows), chosen, spread, anchor),
+        forecast=forecast_frame(lagged, rows, final, chosen, spread, anchor),
         metrics=metrics, test=held_out, splits=splits, chosen=chosen,
         residual_std_log=spread, anchor=anchor)
 
 
-def forecast_frame(lagged: DataFrame, rows: DataFrame, model: PipelineModel, chosen: str,
+def forecast_frame(lagged: DataFrame, rows: DataFrame, model: PipelineModel | None, chosen: str,
                    spread: float, anchor: int) -> DataFrame:
     """One-year-ahead forecast with band per eligible cell observed in the anchor year."""
     grid = P.next_year_features(lagged, anchor).join(P.cell_counts(rows), P.CELL)
@@ -113,11 +114,8 @@ def forecast_frame(lagged: DataFrame, rows: DataFrame, model: PipelineModel, cho
 
 
 def model_report(run: ForecastRun, audit: DataFrame) -> DataFrame:
-    """The forecast run as one JSON document with a bounded sample of held-out rows."""
-    column = "prediction" if run.chosen == "gradient_boosting" else "baseline"
+    """The forecast run as one JSON document; the held-out rows are a table of their own (`panel.held_out_rows`)."""
     metrics = run.metrics.agg(F.collect_list(F.struct(*run.metrics.columns)).alias("m"))  # 4 rows
-    sample = P.held_out_sample(run.test, column).agg(  # at most SAMPLE_ROWS rows
-        F.collect_list(F.struct(*P.CELL, "year_start", "observed_tonnes", "predicted_tonnes")).alias("s"))
     splits = F.struct(*[F.array(*[F.lit(y) for y in ys]).alias(k) for k, ys in run.splits.items() if ys])
     return audit.select(F.to_json(F.struct(
         F.lit("prototype").alias("model_status"),
@@ -128,7 +126,7 @@ def model_report(run: ForecastRun, audit: DataFrame) -> DataFrame:
         run.forecast.agg(F.count(F.lit(1))).scalar().alias("forecast_cells"),
         F.struct(*audit.columns).alias("audit"),
         metrics.scalar().alias("metrics"),
-        sample.scalar().alias("validation_samples"),
+        run.test.agg(F.count(F.lit(1))).scalar().alias("held_out_rows"),
     )).alias("report"))
 
 
@@ -150,16 +148,20 @@ def hash_split(df: DataFrame, keys: Sequence[str], held_out: float = 0.2, seed:
 
 
 def train_price_model(regions: DataFrame, features: Sequence[str] = PRICE_FEATURES,
-                      target: str = PRICE_TARGET) -> PriceModel:
-    """Least squares on region features; held-out metrics from 15 rows on, else in-sample."""
+                      target: str = PRICE_TARGET, held_out: bool = True) -> PriceModel:
+    """Least squares on the regions that have all features and the target.
+
+    Evaluated on a held-out fifth, or in-sample if the caller says so; the metrics name
+    which, count the regions left out, and warn of small samples.
+    """
     rows = regions.dropna(subset=[*features, target])
-    n = rows.count()
+    n, n_all = rows.count(), regions.count()
     pipeline = Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features"),
+        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
         LinearRegression(featuresCol="features", labelCol=target, predictionCol="prediction")])
-    if n < MIN_ROWS_FOR_SPLIT:
+    if not held_out:
         train = test = rows
-        methodology = "in-sample fit (no held-out split -- sample too small)"
+        methodology = "in-sample fit (no held-out split)"
     else:
         split = hash_split(rows, ["region_name"])
         train, test = split.where(~F.col("held_out")), split.where(F.col("held_out"))
@@ -173,7 +175,9 @@ def train_price_model(regions: DataFrame, features: Sequence[str] = PRICE_FEATUR
         "mae_inr_per_quintal": _rounded(m["mae"], 2),
         "r2": _rounded(1 - m["mse"] / m["var"], 4) if m["var"] else None,
         "mape_pct": _rounded(m["mape"] * 100.0, 4) if m["mape"] is not None else None,
-        "metrics_are_in_sample": n < MIN_ROWS_FOR_SPLIT,
+        "metrics_are_in_sample": not held_out,
+        "small_sample_warning": n < SMALL_SAMPLE,
+        "regions_left_out": n_all - n,
     }
     fitted = model.stages[-1]
     coefficients = {f: round(float(c), 6) for f, c in zip(features, fitted.coefficients)}
@@ -193,7 +197,10 @@ def actual_vs_predicted(scored: DataFrame, actual: str, predicted: str) -> DataF
 
 
 def price_forecast(regions: DataFrame, model: PriceModel) -> DataFrame:
-    return actual_vs_predicted(model.model.transform(regions), PRICE_TARGET, "prediction")
+    """Estimates for all regions; a region that lacks a feature has a null one."""
+    scored = model.model.transform(regions)
+    estimate = F.when(~F.isnan("prediction"), F.col("prediction"))
+    return actual_vs_predicted(scored.withColumn("prediction", estimate), PRICE_TARGET, "prediction")
 
 
 def gate_status(regions: DataFrame, configured: bool) -> DataFrame | None:

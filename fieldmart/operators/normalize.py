@@ -73,7 +73,7 @@ def normalize_crops(raw: DataFrame, registry: DataFrame) -> DataFrame:
     """Canonical crop statistics; a source crop_type overrides the registry category.
 
     Missing keys stay null for the contract to reject. Without a source id the row
-    gets a unique, increasing one.
+    gets the hash of its values, the same in every run.
     """
     df = canonical_crops(raw, registry)
     texts = {"year": "year", "state": "state_name", "district": "district_name", "season": "season"}
@@ -82,7 +82,7 @@ def normalize_crops(raw: DataFrame, registry: DataFrame) -> DataFrame:
     columns |= {f"_{c}": F.col(f"`{c}`").cast("string") for c in numbers}
     columns["crop_type"] = (F.coalesce(F.col("crop_type").cast("string"), F.lit("")) if "crop_type" in raw.columns
                             else F.col("category"))
-    ids = F.col("id").try_cast("long") if "id" in raw.columns else F.monotonically_increasing_id()
+    ids = F.col("id").try_cast("long") if "id" in raw.columns else F.xxhash64(*[F.col(f"`{c}`") for c in sorted(raw.columns)])
     trimmed = _trimmed(df, columns, {"id": ids, "crop": F.col("crop")})
 
     def number(name: str) -> Column:

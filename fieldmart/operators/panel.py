@@ -21,7 +21,6 @@ MIN_CELL_ROWS = 6
 VALIDATE_YEARS = 3
 TEST_YEARS = 2
 BAND_SIGMAS = 1.96
-SAMPLE_ROWS = 1000
 MIN_YEARS_FOR_TARGET = 10
 
 
@@ -192,13 +191,9 @@ def next_year_features(lagged: DataFrame, anchor: int) -> DataFrame:
     })
 
 
-def held_out_sample(test: DataFrame, predicted: str, year: str = "year_start",
-                    rows: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
-    """A reproducible sample of held-out predictions, ordered by a seeded hash of the keys."""
-    order = F.xxhash64(F.lit(seed), *CELL, F.col(year))
-    return (test.select(*CELL, year, F.col(TARGET).alias("observed_tonnes"),
-                        F.col(predicted).alias("predicted_tonnes"))
-            .orderBy(order, *CELL, year).limit(rows))
+def held_out_rows(test: DataFrame, predicted: str, year: str = "year_start") -> DataFrame:
+    """Every held-out observation with its prediction."""
+    return test.select(*CELL, year, F.col(TARGET).alias("observed_tonnes"), F.col(predicted).alias("predicted_tonnes"))
 
 
 def observed_vs_predicted(forecast: DataFrame) -> DataFrame:

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from fieldmart.operators.dedupe import keep_first
 
-LATEST_ROWS = 5_000
-HISTORY_ROWS = 250_000
 DEFAULT_SEASON = "Whole Year"
 
 
@@ -23,11 +21,8 @@ def where_equal(df: DataFrame, filters: Mapping[str, str | None]) -> DataFrame:
 
 
 def historical(df: DataFrame, filters: Mapping[str, str | None] | None = None, start=None, end=None,
-               rows: int | None = HISTORY_ROWS, date: str = "date") -> DataFrame:
-    """Filters, inclusive dates and a row cap; unparseable dates drop only under a range.
-
-    The cap is the feature of the interactive slice; `rows=None` gives the whole slice.
-    """
+               date: str = "date") -> DataFrame:
+    """The whole slice under filters and inclusive dates; unparseable dates drop only under a range."""
     out = where_equal(df, filters or {})
     text = dict(df.dtypes)[date] == "string"
     day = F.col(date).try_cast("timestamp") if text else F.col(date)
@@ -35,24 +30,20 @@ def historical(df: DataFrame, filters: Mapping[str, str | None] | None = None, s
         out = out.where(day >= F.lit(start).cast("timestamp"))
     if end is not None:
         out = out.where(day <= F.lit(end).cast("timestamp"))
-    return out if rows is None else out.limit(rows)
+    return out
 
 
-def latest_available(df: DataFrame, filters: Mapping[str, str | None] | None = None,
-                     rows: int | None = LATEST_ROWS, date: str = "date") -> DataFrame:
-    """Records of the newest day under the filters."""
+def latest_available(df: DataFrame, filters: Mapping[str, str | None] | None = None, date: str = "date") -> DataFrame:
+    """All records of the newest day under the filters."""
     picked = where_equal(df, filters or {})
     newest = picked.agg(F.max(date)).scalar()
-    out = picked.where(F.col(date) == newest)
-    return out if rows is None else out.limit(rows)
+    return picked.where(F.col(date) == newest)
 
 
-def latest_metadata(df: DataFrame, filters: Mapping[str, str | None] | None = None,
-                    rows: int = LATEST_ROWS, date: str = "date") -> DataFrame:
-    """latest_date, fetched_rows and total_available of the latest slice."""
+def latest_metadata(df: DataFrame, filters: Mapping[str, str | None] | None = None, date: str = "date") -> DataFrame:
+    """latest_date and total_available of the latest slice."""
     per_day = where_equal(df, filters or {}).groupBy(date).agg(F.count(F.lit(1)).alias("n"))
-    return per_day.agg(F.max(date).alias("latest_date"), F.max_by("n", date).alias("total_available")).select(
-        "latest_date", F.least("total_available", F.lit(rows)).alias("fetched_rows"), "total_available")
+    return per_day.agg(F.max(date).alias("latest_date"), F.max_by("n", date).alias("total_available"))
 
 
 def location_options(geo: DataFrame, available: DataFrame | None = None,

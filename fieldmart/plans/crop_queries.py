@@ -221,10 +221,10 @@ def m9(t):
     rows = labelled(t).where(F.col("split") == "validate")
     model = P.grade(rows, "roll3_production").select(F.col("mae_t").alias("model_mae"))
     naive = P.grade(rows, "baseline").select("mae_t")
-    both = model.withColumn("naive_mae", naive.scalar())
-    chosen = F.when(F.col("model_mae") <= F.col("naive_mae"), "gradient_boosting").otherwise("naive_persistence")
-    return both.select(chosen.alias("chosen"), F.round("model_mae", 2).alias("model_mae"),
-                       F.round("naive_mae", 2).alias("naive_mae"))
+    both = model.withColumn("naive_mae", naive.scalar()).first()
+    chosen = P.choose_model(both["model_mae"], both["naive_mae"])
+    return t.spark.createDataFrame([(chosen, round(both["model_mae"], 2), round(both["naive_mae"], 2))],
+                                   "chosen string, model_mae double, naive_mae double")
 
 
 define("spread", """
@@ -321,10 +321,11 @@ def a12_windows(t):
         weather.select(F.lit("weather").alias("source"), "*"))
 
 
-@query("T3_held_out_sample")
+@query("T3_held_out_sample", f"""
+    SELECT {CELL}, year_start, production_t AS observed_tonnes, baseline AS predicted_tonnes FROM labelled WHERE split = 'test'""",
+       "labelled")
 def t3(t):
-    test = labelled(t).where(F.col("split") == "test")
-    return P.held_out_sample(test, "baseline")
+    return P.held_out_rows(labelled(t).where(F.col("split") == "test"), "baseline")
 
 
 # -- fitted models: no SQL counterpart ---------------------------------------------

@@ -275,7 +275,7 @@ def a16(t):
        "trades")
 def s8(t):
     return S.historical(t.trades, {"state": "ASIA", "commodity": "ECONOMY", "district": None},
-                        "1996-01-01", "1998-12-31", rows=None).select(
+                        "1996-01-01", "1998-12-31").select(
         "apmc", "commodity", "date", "modal_price", "row_id")
 
 
@@ -283,13 +283,12 @@ def s8(t):
     SELECT apmc, commodity, date, modal_price, row_id FROM trades
     WHERE state = 'ASIA' AND date = (SELECT max(date) FROM trades WHERE state = 'ASIA')""", "trades")
 def s9(t):
-    return S.latest_available(t.trades, {"state": "ASIA"}, rows=None).select(
+    return S.latest_available(t.trades, {"state": "ASIA"}).select(
         "apmc", "commodity", "date", "modal_price", "row_id")
 
 
 @query("S9_latest_metadata", """
-    SELECT max(date) AS latest_date, cast(least(count(*) FILTER (WHERE date = last), 5000) AS bigint) AS fetched_rows,
-           count(*) FILTER (WHERE date = last) AS total_available
+    SELECT max(date) AS latest_date, count(*) FILTER (WHERE date = last) AS total_available
     FROM (SELECT date, max(date) OVER () AS last FROM trades)""", "trades")
 def s9_meta(t):
     return S.latest_metadata(t.trades)

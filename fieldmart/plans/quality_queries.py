@@ -81,7 +81,7 @@ def v4(t):
     ("", "season must be non-empty when present", "season = 'R' AND year_start = 1996")), "agri")
 def v5(t):
     early = F.col("year_start") == 1996
-    season = F.when(early & (F.col("season") == "R"), " ").when(~(early & (F.col("season") == "N")), F.col("season"))
+    season = F.when(early & (F.col("season") == "R"), "\t\u00a0").when(~(early & (F.col("season") == "N")), F.col("season"))
     return counts(t.agri.withColumns({"season": season, "area": F.col("area") - 40, "year_start": F.col("year_start") - 100}), V.AGRICULTURE)
 
 

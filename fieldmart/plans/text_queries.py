@@ -310,6 +310,6 @@ def n15(t):
 
 
 @query("N15_available_places", """
-    SELECT DISTINCT upper(region_name) AS district FROM weather ORDER BY 1 LIMIT 25""", "weather")
+    SELECT DISTINCT upper(region_name) AS district FROM weather""", "weather")
 def n15_available(t):
     return B.available_places(B.district_rainfall(rain_records(t)))

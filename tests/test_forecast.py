@@ -97,7 +97,7 @@ def test_forecast_run(crop_year):
     better = metrics["validate", "gradient_boosting"] <= metrics["validate", "naive_persistence"]
     assert run.chosen == ("gradient_boosting" if better else "naive_persistence")
     report = json.loads(ML.model_report(run, P.audit_agriculture(crop_year)).first()[0])
-    assert {s["year_start"] for s in report["validation_samples"]} == set(run.splits["test"])
+    assert report["held_out_rows"] == run.test.count() > 0
     assert report["forecast_cells"] == 12 and report["audit"]["n_years"] == 15
 
 
@@ -110,11 +110,9 @@ def test_rolled_features_are_the_anchor_values(crop_year):
         assert r["roll3_production"] == pytest.approx(np.mean([source[d, y] for y in (2009, 2010, 2011)]))
 
 
-def test_sample_is_bounded_and_reproducible(crop_year):
+def test_all_held_out_rows_are_kept(crop_year):
     test = P.build_features(P.load_panel(crop_year))
-    once, again = (rows(P.held_out_sample(test, "lag1_production", rows=20)) for _ in range(2))
-    assert len(once) == 20 and once == again
-    assert once != rows(P.held_out_sample(test, "lag1_production", rows=20, seed=1))
+    assert P.held_out_rows(test, "lag1_production").count() == test.count()
 
 
 def test_audit(spark, crop_year):
@@ -140,20 +138,31 @@ def regions(spark, n, zero=False):
 
 def test_price_model_equals_least_squares(spark):
     df, x, y = regions(spark, 10)
-    fit = ML.train_price_model(df)
+    fit = ML.train_price_model(df, held_out=False)
     coef = np.linalg.lstsq(np.c_[x, np.ones(len(y))], y, rcond=None)[0]
     assert list(fit.coefficients.values()) == pytest.approx(coef[:3].tolist(), abs=1e-4)
     assert fit.metrics["metrics_are_in_sample"] and "in-sample" in fit.methodology
+    assert fit.metrics["small_sample_warning"] and fit.metrics["regions_left_out"] == 0
     large = ML.train_price_model(regions(spark, 40)[0])
     assert not large.metrics["metrics_are_in_sample"] and large.metrics["r2"] > 0.9
 
 
 def test_price_forecast_error_is_null_at_zero(spark):
     df, _, _ = regions(spark, 10, zero=True)
-    got = {r["region_name"]: r for r in rows(ML.price_forecast(df, ML.train_price_model(df)))}
+    fit = ML.train_price_model(df, held_out=False)
+    got = {r["region_name"]: r for r in rows(ML.price_forecast(df, fit))}
     assert got["r0"]["prediction_error_pct"] is None and got["r1"]["prediction_error_pct"] is not None
 
 
+def test_regions_without_a_feature_have_no_estimate(spark):
+    df, _, _ = regions(spark, 20)
+    gap = df.withColumn("avg_humidity_pct", F.when(F.col("region_name") != "r3", F.col("avg_humidity_pct")))
+    fit = ML.train_price_model(gap)
+    assert fit.metrics["regions_left_out"] == 1
+    got = {r["region_name"]: r["predicted_signal_inr_per_quintal"] for r in rows(ML.price_forecast(gap, fit))}
+    assert got["r3"] is None and got["r4"] is not None
+
+
 def test_gate(spark):
     df, _, _ = regions(spark, 3)
     assert ML.gate_status(df, configured=True) is None
