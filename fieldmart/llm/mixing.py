@@ -8,14 +8,15 @@ each half, so any shard finds its counts alone. A source's slots run through pse
 permutations of its block numbers, a new one for each pass, and slots and blocks are joined
 by number. So every block is taken the rounded-down or rounded-up average of times.
 
-Scale: sizes and places within a split are found in one pass without a shuffle; only one
-row per (source, split) is put in order. No step gathers a source. Per-source totals are
-collected: their number is the number of sources.
+Scale: the documents of a source are ordered by a hash of id and text, in `BUCKETS` ranges
+of their own, so no step gathers a source; only a bucket's total is put in order per source.
+Rows that are shuffled hold numbers, not texts. Per-source totals are collected: their
+number is the number of sources.
 
 Defined results: a null text has size 0; a null source comes last; ids may be null or
 repeated; a document without words takes 0 words; every input row gives one output row; an
 empty table gives an empty one; other columns are left out by `mix` and kept by
-`mixed_documents`. The result depends on the rows and their order in the files alone.
+`mixed_documents`. The result depends on the rows alone, not on their order or partitions.
 """
 
 from __future__ import annotations
@@ -28,16 +29,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from fieldmart.llm.common import WORD, materialized, slices
+from fieldmart.llm.common import WORD, materialized, row_key, slices
 
 WEIGHTS = (5.0, 2.0, 1.0)
 AT_MOST = 3
 BLOCK_WORDS = 64
 SHARD_SLOTS = 8192
 SEED = 20240
+BUCKETS = 4096
 
 
 @dataclass(frozen=True)
@@ -119,24 +120,14 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def _placed(docs: DataFrame, id_column: str, text_column: str, source_column: str, *more: str) -> DataFrame:
-    """Written rows with size, row number and the words of the same source before them in their split."""
-    sized = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"),
+    """Written rows with their source's key, size, a number, and a bucket by the hash of id and text."""
+    doc_id, text = F.col(id_column).cast("long"), F.col(text_column)
+    return materialized(docs.select(
+        doc_id.alias("doc_id"),
         F.coalesce(F.concat(F.lit("s"), F.col(source_column).cast("string")), F.lit("t")).alias("key"),
-        F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.monotonically_increasing_id().alias("row"), *more)
-    schema = T.StructType([*sized.schema.fields, T.StructField("ahead", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, int] = {}
-        for b in batches:
-            ahead = []
-            for key, size in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                ahead.append(seen.get(key, 0))
-                seen[key] = ahead[-1] + size
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ahead, pa.int64())], schema.fieldNames())
-
-    return materialized(sized.mapInArrow(run, schema), "sizes").withColumn("split", F.shiftright("row", 33))
+        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.monotonically_increasing_id().alias("row"), *row_key(doc_id, text), *more), "sizes").withColumn(
+        "bucket", F.pmod(F.xxhash64("k1", "k2"), F.lit(BUCKETS)))
 
 
 def plan_sources(placed: DataFrame, weights=WEIGHTS, at_most=AT_MOST, block_words=BLOCK_WORDS) -> list[Source]:
@@ -178,10 +169,12 @@ def _pieces(placed: DataFrame, sources: list[Source], block_words: int) -> tuple
     session = placed.sparkSession
     known = session.createDataFrame([(s.key, i, s.size, s.target) for i, s in enumerate(sources)],
                                     "key string, source long, source_size long, target double")
-    ends = placed.groupBy("key", "split").agg(F.sum("size").alias("n"))
-    ahead = F.sum("n").over(W.partitionBy("key").orderBy("split")) - F.col("n")
-    starts = materialized(ends.select("key", "split", ahead.alias("start")).join(known, "key"), "starts")
-    rows = placed.join(starts, ["key", "split"]).withColumn("start", F.col("start") + F.col("ahead")).drop("ahead", "split", "key")
+    ends = placed.groupBy("key", "bucket").agg(F.sum("size").alias("n"))
+    ahead = F.sum("n").over(W.partitionBy("key").orderBy("bucket")) - F.col("n")
+    starts = materialized(ends.select("key", "bucket", ahead.alias("start")).join(known, "key"), "starts")
+    inside = W.partitionBy("key", "bucket").orderBy("k2", "k1", "row").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = placed.withColumn("ahead", F.sum("size").over(inside) - F.col("size")).join(starts, ["key", "bucket"]).withColumn(
+        "start", F.col("start") + F.col("ahead")).drop("ahead", "bucket", "key", "k1", "k2")
     first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
     parts = rows.filter("size > 0").select("row", "source", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
     low = F.greatest(F.col("block") * block_words, F.col("start"))
@@ -230,12 +223,12 @@ def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
                     weights=WEIGHTS, at_most=AT_MOST, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents that the mix takes words of, with all their columns; the text holds the taken words."""
     names = docs.columns
-    packed = docs.withColumn("_all", F.struct(*[F.col(c) for c in names]))
-    placed = _placed(packed, id_column, text_column, source_column, "_all")
+    packed = docs.withColumn("__llm_doc", F.struct(*[F.col(c) for c in names]))
+    placed = _placed(packed, id_column, text_column, source_column, "__llm_doc")
     sources = plan_sources(placed, weights, at_most, block_words)
-    _, parts = _taken(placed.drop("_all"), sources, block_words)
-    chosen = parts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("word", "words", "times"))).alias("_parts"))
-    joined = placed.select("row", F.col("_all").alias("_doc")).join(chosen, "row").select("_doc.*", "_parts")
+    _, parts = _taken(placed.drop("__llm_doc"), sources, block_words)
+    chosen = parts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("word", "words", "times"))).alias("__llm_parts"))
+    joined = placed.select("row", "__llm_doc").join(chosen, "row").select("__llm_doc.*", "__llm_parts")
     at = names.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
