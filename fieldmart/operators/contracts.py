@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fieldmart.functions.text import SPACES, strip
+from fieldmart.session import scratch_path
 
 #: The characters that count as blank, as a SQL literal.
 SPACE_TEXT = "'" + "".join(f"\\u{ord(c):04x}" for c in SPACES) + "'"
@@ -221,13 +222,19 @@ def validate(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
 
 
 def gate(df: DataFrame, contract: Contract, rejects: str) -> DataFrame:
-    """The clean table, or write failures and offending rows and raise."""
-    checked = check_rows(df, contract)
-    bad = offending_rows(checked)
-    if bad.isEmpty():
+    """The clean table, or write failures and offending rows and raise.
+
+    The checked table is computed and written once, and its failures are counted while it
+    is written; what follows reads what was written.
+    """
+    seen, path = Observation(), scratch_path(df.sparkSession, f"gate-{contract.name}")
+    bad = F.count_if(F.size("_violations") > 0).alias("bad")
+    check_rows(df, contract).observe(seen, bad).write.parquet(path)
+    checked = df.sparkSession.read.parquet(path)
+    if not seen.get["bad"]:
         return checked.drop("_violations")
     failure_report(checked, contract).write.mode("overwrite").json(f"{rejects}/{contract.name}_rejects")
-    bad.write.mode("overwrite").parquet(f"{rejects}/{contract.name}_rows")
+    offending_rows(checked).write.mode("overwrite").parquet(f"{rejects}/{contract.name}_rows")
     raise ContractViolation(f"data quality gate failed for {contract.name}, see {rejects}")
 
 
@@ -240,8 +247,13 @@ def blank(column: str) -> Column:
     return F.coalesce(strip(F.col(column).cast("string")), F.lit("")) == ""
 
 
-def gate_outcome(checked: DataFrame, contract: Contract) -> DataFrame:
-    """What the gate would do, as one row: dataset, offending_rows, outcome."""
-    bad = checked.agg(F.count_if(F.size("_violations") > 0).alias("offending_rows"))
+def gate_outcome(df: DataFrame, contract: Contract, rejects: str) -> DataFrame:
+    """What the gate does, as one row: dataset, offending_rows, outcome."""
+    spark = df.sparkSession
+    try:
+        gate(df, contract, rejects)
+        bad = spark.range(1).select(F.lit(0).cast("long").alias("offending_rows"))
+    except ContractViolation:
+        bad = spark.read.parquet(f"{rejects}/{contract.name}_rows").agg(F.count("*").alias("offending_rows"))
     return bad.select(F.lit(contract.name).alias("dataset"), "offending_rows",
                       F.when(F.col("offending_rows") > 0, "stopped").otherwise("passed").alias("outcome"))

@@ -86,12 +86,13 @@ def unpivot_prices(daily: DataFrame) -> DataFrame:
     return named.unpivot(["region_name", "date"], values, "commodity", "price")
 
 
-def ranked_mix(daily: DataFrame) -> DataFrame:
+def ranked_mix(prices: DataFrame) -> DataFrame:
     """Highest price per region and commodity with its rank and share of the basket.
 
-    A region has one row per price column here, so the window stays small.
+    `prices` is in long form (region_name, date, commodity, price), as `unpivot_prices`
+    makes it of a wide table. The window holds one row per commodity of a region.
     """
-    best = unpivot_prices(daily).groupBy("region_name", "commodity").agg(F.max("price").alias("price"))
+    best = prices.groupBy("region_name", "commodity").agg(F.max("price").alias("price"))
     region = Window.partitionBy("region_name")
     return best.withColumns({
         "rank": F.row_number().over(region.orderBy(F.col("price").desc_nulls_last(), "commodity")),
@@ -99,12 +100,14 @@ def ranked_mix(daily: DataFrame) -> DataFrame:
     })
 
 
-def mix_cards(daily: DataFrame) -> DataFrame | None:
-    """Commodity mix cards; None without price columns."""
-    if not price_columns(daily):
-        return None
+def mix_cards(daily: DataFrame, prices: DataFrame | None = None) -> DataFrame | None:
+    """Commodity mix cards from long prices or else the price columns; None without either."""
+    if prices is None:
+        if not price_columns(daily):
+            return None
+        prices = unpivot_prices(daily)
     entry = F.concat("commodity", F.lit(" ₹"), money(F.col("price")))
-    mix = ranked_mix(daily).groupBy("region_name").agg(
+    mix = ranked_mix(prices).groupBy("region_name").agg(
         F.min_by(F.struct("commodity", "price", "share"), "rank").alias("top"),
         F.array_sort(F.collect_list(F.struct("rank", entry.alias("entry")))).alias("basket"),
     )
@@ -147,10 +150,10 @@ def model_cards(daily: DataFrame, forecast: DataFrame) -> DataFrame:
 
 
 def region_insights(daily: DataFrame, segments: DataFrame | None = None,
-                    forecast: DataFrame | None = None) -> DataFrame:
+                    forecast: DataFrame | None = None, prices: DataFrame | None = None) -> DataFrame:
     """All cards of all regions; an absent input only removes its own card."""
     cards = [weather_cards(daily)]
-    mix = mix_cards(daily)
+    mix = mix_cards(daily, prices)
     if mix is not None:
         cards.append(mix)
     if segments is not None:

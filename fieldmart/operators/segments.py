@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmart.functions.labels import tercile_label
@@ -85,12 +85,9 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def names_per_segment(segments: DataFrame) -> DataFrame:
-    """The sorted region names of each segment as one text.
-
-    Its input is the region dimension, one row per monitored region, never facts.
-    """
-    return segments.groupBy("segment").agg(
-        F.concat_ws(", ", F.sort_array(F.collect_list("region_name"))).alias("regions"))
+    """The region names of each segment with their rank in name order, one row each."""
+    rank = F.row_number().over(Window.partitionBy("segment").orderBy("region_name"))
+    return segments.select("segment", rank.alias("rank"), "region_name")
 
 
 def segment_overview(segments: DataFrame, profile: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from fieldmart.operators.quantiles import attach_quantiles, group_quantiles
 from fieldmart.plans.base import define, query
 from fieldmart.plans.market_queries import market_daily_features
 
-KINDS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def daily(t):
@@ -221,7 +220,8 @@ def a13(t):
 
 
 @query("A18_names_per_segment", """
-    SELECT segment, string_agg(region_name, ', ' ORDER BY region_name) AS regions FROM segments GROUP BY 1""", "segments")
+    SELECT segment, cast(row_number() OVER (PARTITION BY segment ORDER BY region_name) AS integer) AS rank, region_name
+    FROM segments""", "segments")
 def a18(t):
     return G.names_per_segment(G.assign_segments(features(t)))
 
@@ -254,15 +254,30 @@ def i1(t):
     return I.weather_cards(daily(t))
 
 
-def priced_days(t):
-    """Climate days with one price column per commodity."""
+def prices(t):
+    """Prices per region, climate day and commodity, in long form."""
     moved = t.trades.withColumn("date", F.date_add("date", 9862)).join(
         t.geo.select("district", "region_name"), "district")
-    wide = moved.groupBy("region_name", "date").pivot("commodity", KINDS).agg(F.max("modal_price"))
-    named = wide.select("region_name", "date", *[F.col(k).alias(f"{k.lower()}_inr_per_quintal") for k in KINDS])
+    return moved.select("region_name", "date", F.initcap("commodity").alias("commodity"), F.col("modal_price").alias("price"))
+
+
+def priced_days(t):
+    """Climate days with one price column per commodity that the trades hold."""
+    wide = prices(t).groupBy("region_name", "date").pivot("commodity").agg(F.max("price"))
+    kinds = wide.columns[2:]
+    named = wide.select("region_name", "date", *[F.col(f"`{k}`").alias(f"{k.lower()}_inr_per_quintal") for k in kinds])
     return daily(t).join(named, ["region_name", "date"], "left")
 
 
+def climate_prices(t):
+    """Long prices of the days that have weather, and for every region each commodity once without a price."""
+    days = daily(t).select("region_name", "date")
+    kinds = prices(t).agg(F.array_sort(F.collect_set("commodity"))).scalar()  # as many as there are commodities
+    unpriced = days.select("region_name").distinct().select(
+        "region_name", F.lit(None).cast("date").alias("date"), F.explode(kinds).alias("commodity"), F.lit(None).cast("double").alias("price"))
+    return prices(t).join(days, ["region_name", "date"], "left_semi").withColumn("price", F.col("price").cast("double")).unionByName(unpriced)
+
+
 define("prices_long", """
     SELECT w.region_name, w.date, k.commodity, max(m.modal_price) AS price
     FROM weather w CROSS JOIN (SELECT DISTINCT p_type, substr(p_type, 1, 1) || lower(substr(p_type, 2)) AS commodity FROM part) k
@@ -283,7 +298,7 @@ define("mix", """
 
 @query("T2_ranked_mix", "SELECT region_name, commodity, price, cast(rank AS integer) AS rank, share FROM mix", "mix")
 def t2(t):
-    return I.ranked_mix(priced_days(t))
+    return I.ranked_mix(climate_prices(t))
 
 
 define("mix_cards", """
@@ -300,7 +315,7 @@ define("mix_cards", """
 
 @query("I2_mix_cards", "SELECT * FROM mix_cards", "mix_cards")
 def i2(t):
-    return I.mix_cards(priced_days(t))
+    return I.mix_cards(daily(t), climate_prices(t))
 
 
 define("segment_cards", """
@@ -363,4 +378,4 @@ def i4(t):
     SELECT * FROM weather_cards UNION ALL SELECT * FROM mix_cards UNION ALL SELECT * FROM segment_cards
     UNION ALL SELECT * FROM model_cards""", "weather_cards mix_cards segment_cards model_cards")
 def all_cards(t):
-    return I.region_insights(priced_days(t), G.assign_segments(features(t)), price_estimates(t))
+    return I.region_insights(daily(t), G.assign_segments(features(t)), price_estimates(t), climate_prices(t))

@@ -9,6 +9,7 @@ from fieldmart.operators import contracts as V
 from fieldmart.operators import crops as K
 from fieldmart.operators import dedupe as D
 from fieldmart.operators import quality as Q
+from fieldmart.session import scratch_path
 from fieldmart.plans.base import define, query
 from fieldmart.plans.market_queries import market_rows, region_days
 from fieldmart.session import materialized
@@ -95,9 +96,12 @@ define("contradicting", "SELECT * FROM trades WHERE coalesce(min_price > modal_p
 
 @query("V7_gate_outcome", """
     SELECT 'india_mandi' AS dataset, count(*) AS offending_rows, CASE WHEN count(*) > 0 THEN 'stopped' ELSE 'passed' END AS outcome
-    FROM contradicting""", "contradicting")
+    FROM contradicting UNION ALL SELECT 'india_mandi', 0, 'passed'""", "contradicting")
 def v7(t):
-    return V.gate_outcome(V.check_rows(trade_rows(t), V.TRADES), V.TRADES)
+    """The gate on the failing table, and on its clean rows."""
+    folder = scratch_path(t.spark, "rejects")
+    clean = V.clean_rows(V.check_rows(trade_rows(t), V.TRADES))
+    return V.gate_outcome(trade_rows(t), V.TRADES, f"{folder}/all").unionByName(V.gate_outcome(clean, V.TRADES, f"{folder}/clean"))
 
 
 @query("V8_quarantine", """

@@ -100,9 +100,9 @@ def monitored_subset(df: DataFrame, geo: DataFrame, column: str = "district") ->
     return df.withColumn("_d", strip(F.col(column))).join(known, "_d", "left_semi").drop("_d")
 
 
-def export_single_file(df: DataFrame, path: str, fmt: str = FORMAT) -> None:
-    """One part file, for region-sized report tables only."""
-    df.coalesce(1).write.format(fmt).mode("overwrite").save(path)
+def export(df: DataFrame, path: str, fmt: str = FORMAT) -> None:
+    """A report table as a folder of part files, each written by its own task."""
+    df.write.format(fmt).mode("overwrite").save(path)
 
 
 def run_metadata(steps: Sequence[tuple[str, str, str, DataFrame | None]]) -> DataFrame:

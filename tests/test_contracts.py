@@ -76,10 +76,18 @@ def test_gate_stops_the_table_and_writes_rejects(spark, weather, tmp_path):
         V.gate(bad, V.WEATHER, str(tmp_path))
     assert spark.read.json(f"{tmp_path}/weather_rejects").count() == 1
     assert spark.read.parquet(f"{tmp_path}/weather_rows").select("region_name").first()[0] == "Karnal"
-    (outcome,) = rows(V.gate_outcome(V.check_rows(bad, V.WEATHER), V.WEATHER))
+    (outcome,) = rows(V.gate_outcome(bad, V.WEATHER, f"{tmp_path}/again"))
     assert (outcome["offending_rows"], outcome["outcome"]) == (1, "stopped")
 
 
+@pytest.mark.parametrize(("column", "contract"), [("season", V.AGRICULTURE), ("apmc", V.TRADES), ("commodity", V.TRADES)])
+def test_blank_text_is_rejected(agri, trades, column, contract):
+    source = agri if contract is V.AGRICULTURE else trades
+    for blank in ("\t", "\u00a0 ", "\u3000"):
+        (found,) = rows(V.failure_counts(source.withColumn(column, F.lit(blank)), contract))
+        assert found["failures"] == source.count()
+
+
 def test_projection_drops_passthrough_columns(trades):
     assert V.project(trades, V.TRADES).columns == V.TRADES.column_names
 

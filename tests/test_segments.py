@@ -35,7 +35,7 @@ def test_overview_and_names(features):
     segments = G.assign_segments(features)
     overview = {r["region_name"]: r["weather_signal"] for r in rows(G.segment_overview(segments, features))}
     assert overview == {"RainyWest": "High precip / Low temp", "DryEast": "Low precip / High temp"}
-    assert {r["regions"] for r in rows(G.names_per_segment(segments))} == {"RainyWest", "DryEast"}
+    assert {(r["rank"], r["region_name"]) for r in rows(G.names_per_segment(segments))} == {(1, "RainyWest"), (1, "DryEast")}
     assert rows(G.value_counts(segments, "exposure_tier")) == [{"exposure_tier": "High-Exposure", "count": 2}]
 
 
@@ -63,7 +63,7 @@ def test_commodity_mix(daily):
     assert alpha["title"] == "Commodity mix: Wheat" and "Wheat at ₹2,400/quintal (47% of the observed basket)" in alpha["what"]
     assert alpha["why"] == "Observed commodity prices (INR/quintal): Wheat ₹2,400, Onion ₹1,500, Tomato ₹1,200."
     assert beta["title"] == "Commodity mix: diversified" and "(0% of the observed basket)" in gamma["what"]
-    top = [r for r in rows(I.ranked_mix(daily)) if r["region_name"] == "Alpha" and r["rank"] == 1]
+    top = [r for r in rows(I.ranked_mix(I.unpivot_prices(daily))) if r["region_name"] == "Alpha" and r["rank"] == 1]
     assert top[0]["share"] == pytest.approx(2400 / 5100)
 
 
