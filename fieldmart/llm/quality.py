@@ -96,7 +96,7 @@ class Model:
         return above.sum(axis=1), above[:, -1]
 
 
-def fit(features: list[np.ndarray], grades: np.ndarray, rounds: int = 250, decay: float = 5e-4, rate: float = 0.08) -> Model:
+def fit(features: list[np.ndarray], grades: np.ndarray, rounds: int = 200, decay: float = 1.5e-4, rate: float = 0.08) -> Model:
     """Most likely weights and thresholds with a squared penalty, by Adam over all rows at once."""
     flat, where = np.unique(np.concatenate(features), return_inverse=True)
     counts = np.array([len(f) for f in features])
@@ -129,7 +129,8 @@ def fit(features: list[np.ndarray], grades: np.ndarray, rounds: int = 250, decay
                                  [tail[0]], tail[1:] * np.exp(free[len(flat) + 1:])])
         first = 0.9 * first + 0.1 * slopes
         second = 0.99 * second + 0.01 * slopes**2
-        free = free - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+        slower = rate * (1 - (step - 1) / rounds)
+        free = free - slower * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
     weights = np.zeros(1 << BITS, dtype=np.float32)
     weights[flat] = free[:len(flat)]
     return Model(weights, free[len(flat)] + np.concatenate([[0.0], np.cumsum(np.exp(free[len(flat) + 1:]))]))
