@@ -100,9 +100,13 @@ def match_weather(crops: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def crop_summary(agri: DataFrame, trades: DataFrame, region_features: DataFrame,
-                 price_unit: str | None = PRICE_UNIT, tie: Sequence[str] = ()) -> DataFrame:
-    """Agriculture, market and weather blocks per location and crop."""
+                 price_unit: str | None = PRICE_UNIT, tie: Sequence[str] = (), include_state: bool = False) -> DataFrame:
+    """Agriculture, market and weather blocks per location and crop.
+
+    With `include_state` equal district names of two states have market blocks of their own.
+    """
     crops = crop_block(crop_year_panel(agri))
-    matched = match_market(crops, commodity_block(trades, price_unit, tie=tie))
+    keys = [*(["state"] if include_state else []), "district", "commodity"]
+    matched = match_market(crops, commodity_block(trades, price_unit, keys, tie), include_state)
     return match_weather(matched, district_weather(region_features)).withColumn(
         "weather_warning", F.lit(None).cast("string"))

@@ -80,3 +80,14 @@ def test_equal_districts_of_two_states_can_stay_apart(spark):
                                   "state string, district string, commodity string, " + ", ".join(f"{c} {t}" for c, t in fields.items()))
     assert [r["market_status"] for r in rows(K.match_market(crops, block), "state")] == ["matched", "matched"]
     assert [r["market_status"] for r in rows(K.match_market(crops, block, include_state=True), "state")] == ["matched", "no_records"]
+
+
+def test_crop_summary_can_keep_states_apart(spark, agri, trades, geo, weather):
+    twin = agri.withColumns({"state": F.lit("Goa"), "id": F.col("id") + 100})
+    both = agri.unionByName(twin)
+    sold = trades.unionByName(trades.where("commodity = 'Onion'").withColumns({"state": F.lit("Goa"), "modal_price": F.lit(77.0)}))
+    features = R.region_features(weather, trades, geo)
+    apart = {r["state"]: r for r in rows(K.crop_summary(both, sold, features, include_state=True)) if r["crop"] == "Onion"}
+    assert apart["Goa"]["latest_modal_price"] == 77.0 and apart["Karnataka"]["latest_modal_price"] != 77.0
+    joint = [r for r in rows(K.crop_summary(both, sold, features)) if r["crop"] == "Onion"]
+    assert len({r["latest_modal_price"] for r in joint}) == 1
