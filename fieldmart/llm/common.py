@@ -48,7 +48,7 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
 def first_of_each(rows: DataFrame, *keys: str) -> DataFrame:
     """One row of each key; rows of one key are taken to be alike."""
     place = F.row_number().over(W.partitionBy(*keys).orderBy(keys[0]))
-    return rows.withColumn("_place", place).filter("_place = 1").drop("_place")
+    return rows.withColumn("__llm_place", place).filter("__llm_place = 1").drop("__llm_place")
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_A_TIME) -> Iterator[pa.RecordBatch]:

@@ -101,7 +101,7 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
 def drop_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; of rows repeated with id and text one."""
     kept = exact_duplicates(docs, id_column, text_column).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    marked = docs.withColumn("_id", F.col(id_column)).withColumn("_sha", F.sha2(lower_ascii(F.col(text_column)).cast("binary"), 256))
-    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
-    return first_of_each(marked.join(kept, same, "left_semi"), "_id", "_sha").select(*docs.columns)
+        F.col("doc_id").alias("__llm_kept_id"), F.col("text_sha256").alias("__llm_kept_sha"))
+    marked = docs.withColumn("__llm_id", F.col(id_column)).withColumn("__llm_sha", F.sha2(lower_ascii(F.col(text_column)).cast("binary"), 256))
+    same = F.col("__llm_id").eqNullSafe(F.col("__llm_kept_id")) & (F.col("__llm_sha") == F.col("__llm_kept_sha"))
+    return first_of_each(marked.join(kept, same, "left_semi"), "__llm_id", "__llm_sha").select(*docs.columns)

@@ -186,7 +186,8 @@ def _taken(placed: DataFrame, sources: list[Source], block_words: int) -> tuple[
     """Rows, and their parts with how often the mix takes them."""
     rows, parts = _pieces(placed, sources, block_words)
     times = slots(placed.sparkSession, sources).groupBy("source", "block").agg(F.count("*").alias("times"))
-    return rows, parts.join(times, ["source", "block"])
+    # the slots' number can't be told from the shards' number before the run, so no side may be broadcast
+    return rows, parts.join(times.hint("merge"), ["source", "block"])
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
