@@ -49,7 +49,7 @@ def _name_blocks(texts: DataFrame, block_bytes: int, seed: int, marks: Callable)
     """Rows with their blocks' fingerprints, and the named blocks."""
     cut = texts.withColumn("blocks", _blocks(F.col("data"), block_bytes))
     marked = F.transform("blocks", lambda b: F.struct(*[m.alias(f"f{i}") for i, m in enumerate(marks(b, seed))]))
-    rows = materialized(cut.select("doc_id", F.monotonically_increasing_id().alias("row"), F.length("data").alias("n_bytes"),
+    rows = materialized(cut.select("doc_id", F.monotonically_increasing_id().alias("row"), F.length("data").cast("long").alias("n_bytes"),
                                    F.sha2("data", 256).alias("text_sha256"), marked.alias("marks")), "block-rows")
     each = cut.select(F.explode("blocks").alias("block")).select(
         *[m.alias(f"f{i}") for i, m in enumerate(marks(F.col("block"), seed))], "block")
