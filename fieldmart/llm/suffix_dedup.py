@@ -133,7 +133,7 @@ def _anchor_rows(length: int, gram: int):
 
 
 def _contexts(length: int, first_stays: bool):
-    """Map (k1, k2, data, marks) to contexts; equal contexts of a chunk travel once, the others are resolved at once."""
+    """Map (doc_id, k1, k2, data, marks) to contexts; equal contexts of a chunk travel once, the others are resolved at once."""
     names = ["anchor", "context", "k1", "k2", "low", "windows", "many"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +154,7 @@ def _contexts(length: int, first_stays: bool):
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
         for b in slices(batches, 64):
-            for k1, k2, data, marks in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            for k1, k2, data, marks in zip(*(b.column(i).to_pylist() for i in range(1, 5)), strict=True):
                 for m in marks:
                     low, windows = m["place"] >> 8, m["place"] & 255
                     if m["hot"]:
@@ -322,12 +322,13 @@ def _cut(data: bytes, intervals: list[tuple[int, int]]) -> tuple[list[bytes], in
 def repeated_intervals(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT,
                        first_stays: bool = False) -> DataFrame:
     """Intervals of repeated bytes (k1, k2, low, high) of rows (doc_id, k1, k2, data); intervals may overlap."""
-    anchors = materialized(keyed.select("k1", "k2", "data").mapInArrow(
-        _anchor_rows(length, gram), "anchor long, k1 long, k2 long, place long"), "anchors")
+    # found twice, as that costs less than a table of them would fill
+    anchors = keyed.select("k1", "k2", "data").mapInArrow(_anchor_rows(length, gram), "anchor long, k1 long, k2 long, place long")
     repeated = materialized(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select(
         "anchor", (F.col("n") > hot).alias("hot")), "repeated-anchors")
     marks = anchors.join(repeated, "anchor").groupBy("k1", "k2").agg(F.collect_set(F.struct("anchor", "place", "hot")).alias("marks"))
-    texts = keyed.join(marks, ["k1", "k2"]).select("k1", "k2", "data", "marks")
+    # all columns of `keyed`, so that Spark shuffles the texts once for this join and the last one
+    texts = keyed.join(marks, ["k1", "k2"]).select("doc_id", "k1", "k2", "data", "marks")
     contexts = texts.mapInArrow(_contexts(length, first_stays), "anchor long, context binary, k1 long, k2 long, low long, windows int, many boolean")
     return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
         _intervals(length, first_stays), "k1 long, k2 long, low long, high long")
