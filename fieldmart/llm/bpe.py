@@ -18,9 +18,12 @@ columns of the input are left out.
 from __future__ import annotations
 
 import functools
+from array import array
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from fieldmart.llm.common import slices, text_rows
@@ -28,6 +31,8 @@ from fieldmart.llm.words import END, Splitter, symbols_of
 
 #: Words whose encodings a task keeps.
 CACHED_WORDS = 500_000
+#: Marks the number of an added token among words; no word of a text starts with it, as the splitter drops line feeds.
+ADDED = "\n"
 
 
 def default_vocabulary() -> str:
@@ -109,7 +114,12 @@ class TrieEncoder:
     def __init__(self, path: str):
         self.splitter = Splitter(path)
         self.merges = Merges(self.splitter.model)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        """Forget all words: their numbers, and the tokens of each number."""
+        self.number: dict[str, int] = {}
+        self.tokens, self.ends = array("i"), array("q", [0])
 
     def learn(self, words: set[str]) -> None:
         """Encode the new words: depth-first over their trie, in sorted order of their symbols."""
@@ -145,20 +155,39 @@ class TrieEncoder:
                 back.append(vocab_id[last[at]])
                 at -= size[at]
             back.reverse()
-            self.cache[word] = tuple(back)
+            self._keep(word, back)
             path = symbols
             last.pop()                # the last state belongs to the word's end, which no other word shares
             size.pop()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        split = [list(self.splitter.parts(t)) for t in texts]
-        new = {w for parts in split for p in parts if not isinstance(p, int) for w in p}
-        if len(self.cache) + len(new) > CACHED_WORDS:
-            self.cache.clear()
-        self.learn({w for w in new if w not in self.cache})
-        return [list(chain.from_iterable(
-            (p,) if isinstance(p, int) else chain.from_iterable(map(self.cache.__getitem__, p)) for p in parts))
-            for parts in split]
+    def _keep(self, word: str, ids: list[int]) -> None:
+        self.number[word] = len(self.number)
+        self.tokens.extend(ids)
+        self.ends.append(len(self.tokens))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts behind each other, and where each text's ids end."""
+        split: list[list[str]] = []
+        for text in texts:
+            words: list[str] = []
+            for part in self.splitter.parts(text):
+                words += part if isinstance(part, list) else [f"{ADDED}{part}"]
+            split.append(words)
+        new = set(chain.from_iterable(split)).difference(self.number)
+        if len(self.number) + len(new) > CACHED_WORDS:
+            self.clear()
+            new = set(chain.from_iterable(split))
+        added = {w for w in new if w[0] == ADDED}
+        for w in sorted(added):
+            self._keep(w, [int(w[1:])])
+        self.learn(new - added)
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        tokens, ends = np.array(self.tokens, np.int32), np.array(self.ends, np.int64)
+        first, size = ends[numbers], ends[numbers + 1] - ends[numbers]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = tokens[np.arange(upto[-1]) + np.repeat(first - upto[:-1], size)]
+        return ids, upto[np.cumsum(counts)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -167,11 +196,11 @@ def encoder(path: str) -> TrieEncoder:
 
 
 @functools.lru_cache(maxsize=2)
-def pieces(path: str) -> list[str]:
+def pieces(path: str) -> pa.Array:
     """Token texts by id."""
     splitter = Splitter(path)
     by_id = {i: t for t, i in chain(splitter.model["vocab"].items(), splitter.added.items())}
-    return [by_id.get(i, "") for i in range(max(by_id) + 1)]
+    return pa.array([by_id.get(i, "") for i in range(max(by_id) + 1)])
 
 
 def encode(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -179,7 +208,9 @@ def encode(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_col
     def build(pairs):
         own = encoder(vocabulary)
         for ids, texts in pairs:
-            yield [ids.cast(pa.int64()), pa.array(own.encode(texts), pa.list_(pa.int32()))]
+            tokens, ends = own.encode(texts)
+            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+            yield [ids.cast(pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(tokens))]
 
     return text_rows(docs, id_column, text_column, "doc_id long, ids array<int>", build)
 
@@ -189,7 +220,9 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches):
         table = pieces(vocabulary)
         for b in slices(batches):
-            texts = [" ".join(map(table.__getitem__, ids or ())) for ids in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+            ids = b.column(1)
+            offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(pc.fill_null(pc.list_value_length(ids), 0))])
+            texts = pc.binary_join(pa.ListArray.from_arrays(offsets, table.take(ids.flatten())), " ")
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, texts], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
