@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from fieldmart.functions.numbers import pct_change
 from fieldmart.operators import panel as P
+from fieldmart.session import scratch_path
 
 # The published model settings and thresholds.
 MAX_ITER = 300
@@ -44,6 +45,14 @@ def boosted_trees(max_iter: int = MAX_ITER, max_bins: int = 256) -> Pipeline:
     ])
 
 
+def fit_trees(rows: DataFrame, max_iter: int = MAX_ITER) -> PipelineModel:
+    """Fitted boosted trees; the growing lineage is cut in the session's checkpoint folder."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_path(rows.sparkSession, "trees"))
+    return boosted_trees(max_iter).fit(rows)
+
+
 @dataclass
 class ForecastRun:
     """Result of one forecast: frames stay distributed, only scalars are local."""
@@ -74,7 +83,7 @@ def run_forecast(crop_year: DataFrame, validate: int = P.VALIDATE_YEARS, test: i
     if not splits["train"] or not splits["validate"]:
         raise ValueError("not enough years for a temporal split")
     labelled = P.with_split(rows, splits)
-    fitted = boosted_trees(max_iter).fit(labelled.where(F.col("split") == "train"))
+    fitted = fit_trees(labelled.where(F.col("split") == "train"), max_iter)
     scored = fitted.transform(labelled.where(F.col("split") != "train")).withColumn(
         "baseline", P.persistence())
     model_metrics = P.grade(scored, "prediction", ["split"]).withColumn("predictor", F.lit("gradient_boosting"))
@@ -87,7 +96,7 @@ def run_forecast(crop_year: DataFrame, validate: int = P.VALIDATE_YEARS, test: i
     held_out = scored.where(F.col("split") == "test")
     spread = P.residual_spread(held_out, column).first()["residual_std_log"]
     anchor = years[-1]
-    final = boosted_trees(max_iter).fit(rows) if chosen == "gradient_boosting" else None
+    final = fit_trees(rows, max_iter) if chosen == "gradient_boosting" else None
     return ForecastRun(
         forecast=forecast_frame(lagged, rows, final, chosen, spread, anchor),
         metrics=metrics, test=held_out, splits=splits, chosen=chosen,
