@@ -58,7 +58,7 @@ def shape_features(text: str, tokens: list[str], distinct: int) -> list[str]:
     rate = 10 * distinct // n
     return [f"#length {n.bit_length()}", f"#distinct {rate}", f"#distinct {rate} length {n.bit_length()}",
             f"#symbols {min(20, 50 * symbols // size)}", f"#mean {min(20, (size - symbols) // n)}",
-            f"#lines {min(12, (n // lines).bit_length())}", f"#upper {min(10, 20 * sum(map(str.isupper, text[::7])) * 7 // size)}"]
+            f"#lines {min(12, (n // lines).bit_length())}", f"#upper {min(10, 20 * sum(map(str.isupper, text)) // size)}"]
 
 
 class Features:

@@ -68,3 +68,10 @@ def test_fit_prefers_true_thresholds():
     model = quality.fit(features, grades, rounds=400)
     fitted = np.array([model.weights[f].sum() for f in features])
     assert np.corrcoef(fitted, score)[0, 1] > 0.97 and 1.5 < np.diff(model.thresholds)[0] < 3.2
+
+
+def test_capitals_are_counted_over_the_whole_text():
+    def upper(text):
+        return quality.shape_features(text, text.lower().split(), 1)[-1]
+
+    assert upper("A cat sat down") == "#upper 1" and upper("aBBBBBBbBBBBBB") == "#upper 10"
