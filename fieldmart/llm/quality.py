@@ -7,7 +7,8 @@ tail probability P(grade >= best), by which documents are kept.
 
 The model is fitted on at most `sample_rows` labelled documents, those with the smallest
 hash of their id; that bound is what the driver gathers, as feature numbers, not texts.
-Everything else runs over all rows: whole texts are scored in one pass without a shuffle,
+A feature of fewer than `least_documents` of them has no weight: an absolute number, so with
+few labels few words count. Everything else runs over all rows: whole texts are scored in one pass without a shuffle,
 with a weight table of fixed size sent to the executors.
 
 Defined results: a null or empty text has only the feature of its length class; ids may be
@@ -33,6 +34,7 @@ from fieldmart.llm.common import slices, text_rows
 BITS = 21
 SAMPLE_ROWS = 12_000
 KEEP_FROM = 0.6
+LEAST_DOCUMENTS = 10
 CACHED_WORDS = 400_000
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -96,14 +98,15 @@ class Model:
         return above.sum(axis=1), above[:, -1]
 
 
-def fit(features: list[np.ndarray], grades: np.ndarray, rounds: int = 200, decay: float = 1.5e-4, rate: float = 0.08) -> Model:
+def fit(features: list[np.ndarray], grades: np.ndarray, rounds: int = 200, decay: float = 1.5e-4, rate: float = 0.08,
+        least_documents: int = LEAST_DOCUMENTS) -> Model:
     """Most likely weights and thresholds with a squared penalty, by Adam over all rows at once."""
     flat, where = np.unique(np.concatenate(features), return_inverse=True)
     counts = np.array([len(f) for f in features])
     starts, rows = np.concatenate([[0], np.cumsum(counts)[:-1]]), np.repeat(np.arange(len(features)), counts)
     top = int(grades.max())
-    # a feature of a few documents can't be told from noise
-    common = np.bincount(where, minlength=len(flat)) > 9
+    # a feature of a few documents can't be told from noise; 1 gives every feature a weight
+    common = np.bincount(where, minlength=len(flat)) >= least_documents
     free = np.concatenate([np.zeros(len(flat)), [np.log(3.0)] * top])
     share = np.array([(grades > k).mean() for k in range(top)]).clip(1e-3, 1 - 1e-3)
     free[len(flat)] = -np.log(share[0] / (1 - share[0]))
@@ -155,14 +158,15 @@ def sample(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str,
 
 
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-          sample_rows: int = SAMPLE_ROWS) -> Model | None:
+          sample_rows: int = SAMPLE_ROWS, least_documents: int = LEAST_DOCUMENTS) -> Model | None:
     """The fitted model, or None where fewer than two grades are labelled."""
     rows = sorted((r["doc_id"], r["grade"], sorted(r["features"])) for r in
                   sample(docs, labels, id_column, text_column, sample_rows).toLocalIterator())
     found = sorted({g for _, g, _ in rows})
     if len(found) < 2:
         return None
-    return fit([np.array(f) for _, _, f in rows], np.array([found.index(g) for _, g, _ in rows]))
+    return fit([np.array(f) for _, _, f in rows], np.array([found.index(g) for _, g, _ in rows]),
+               least_documents=least_documents)
 
 
 def grade_documents(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text",

@@ -75,3 +75,10 @@ def test_capitals_are_counted_over_the_whole_text():
         return quality.shape_features(text, text.lower().split(), 1)[-1]
 
     assert upper("A cat sat down") == "#upper 1" and upper("aBBBBBBbBBBBBB") == "#upper 10"
+
+
+def test_the_least_number_of_documents_is_a_parameter():
+    features = [np.array([1, 2]) for _ in range(40)] + [np.array([1, 2, 3]) for _ in range(3)] + [np.array([1, 4]) for _ in range(5)]
+    grades = np.array([1] * 40 + [0] * 8)
+    assert quality.fit(features, grades).weights[3] == 0 and quality.fit(features, grades, least_documents=3).weights[3] < -0.1
+    assert quality.fit(features, grades, least_documents=4).weights[3] == 0
