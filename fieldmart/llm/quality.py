@@ -13,7 +13,8 @@ with a weight table of fixed size sent to the executors.
 
 Defined results: a null or empty text has only the feature of its length class; ids may be
 null or repeated, every input row gives one output row; rows of `labels` with nulls are
-left out, of several labels for one id the lowest grade counts; where fewer than two grades
+left out, of several labels for one id the lowest grade counts,
+of several texts of one id the one with the smallest hash is fitted; where fewer than two grades
 are labelled nothing can be learnt: grade and probability are null and all rows are kept.
 """
 
@@ -144,8 +145,10 @@ def sample(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str,
     graded = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(grade(F.col("quality"), F.col("toxic"))).alias("grade"))
     chosen = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)  # at most sample_rows rows of two numbers
+    text = F.col("text")
     marked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).join(
-        F.broadcast(chosen), "doc_id")
+        F.broadcast(chosen), "doc_id").groupBy("doc_id", "grade").agg(F.min(F.struct(F.xxhash64(text), text)).alias("first")).select(
+        "doc_id", "first.text", "grade")  # one row of an id, by the hash of its text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Features()

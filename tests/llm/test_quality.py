@@ -82,3 +82,11 @@ def test_the_least_number_of_documents_is_a_parameter():
     grades = np.array([1] * 40 + [0] * 8)
     assert quality.fit(features, grades).weights[3] == 0 and quality.fit(features, grades, least_documents=3).weights[3] < -0.1
     assert quality.fit(features, grades, least_documents=4).weights[3] == 0
+
+
+def test_sample_bound_holds_for_repeated_ids(spark, graded):
+    docs, labels = graded
+    repeated = docs.unionByName(docs.withColumn("doc_id", docs.doc_id % 3))
+    found = quality.sample(repeated, labels, "doc_id", "text", 50).collect()
+    assert len(found) == 50 == len({r.doc_id for r in found})
+    assert len(quality.sample(repeated, labels, "doc_id", "text", 12_000).collect()) == 600
