@@ -18,6 +18,7 @@ from fieldmart.session import scratch_path
 # The published model settings and thresholds.
 MAX_ITER = 300
 MAX_DEPTH = 3
+MAX_BINS = 256
 STEP_SIZE = 0.06
 SEED = 42
 SMALL_SAMPLE = 15
@@ -32,11 +33,11 @@ def with_null_flags(df: DataFrame) -> DataFrame:
         *[F.col(c).isNull().cast("double").alias(f"m_{c}") for c in P.NUMERIC])
 
 
-def boosted_trees(max_iter: int = MAX_ITER, max_bins: int = 256) -> Pipeline:
+def boosted_trees(max_iter: int = MAX_ITER, max_bins: int = MAX_BINS, indexer=None) -> Pipeline:
     """Absolute-error boosted trees on two categorical and seven numeric features."""
     inputs = [f"{c}_index" for c in P.CATEGORICAL] + [f"{p}_{c}" for c in P.NUMERIC for p in ("f", "m")]
     return Pipeline(stages=[
-        StringIndexer(inputCols=P.CATEGORICAL, outputCols=[f"{c}_index" for c in P.CATEGORICAL],
+        indexer or StringIndexer(inputCols=P.CATEGORICAL, outputCols=[f"{c}_index" for c in P.CATEGORICAL],
                       stringOrderType="alphabetAsc", handleInvalid="keep"),
         VectorAssembler(inputCols=inputs, outputCol="features"),
         GBTRegressor(featuresCol="features", labelCol=P.TARGET, predictionCol="prediction",
@@ -50,7 +51,9 @@ def fit_trees(rows: DataFrame, max_iter: int = MAX_ITER) -> PipelineModel:
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_path(rows.sparkSession, "trees"))
-    return boosted_trees(max_iter).fit(rows)
+    indexer = boosted_trees(max_iter).getStages()[0].fit(rows)
+    labels = max(len(found) for found in indexer.labelsArray)
+    return boosted_trees(max_iter, max(MAX_BINS, labels + 1), indexer).fit(rows)  # one more for unknown labels
 
 
 @dataclass
