@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmart.llm import bpe, embedding_dedup, exact_dedup, jaccard_join, mixing, pii, quality, suffix_dedup, token_count, toxicity, warc
+from fieldmart.llm import bpe, embedding_dedup, exact_dedup, jaccard_join, mixing, pii, quality, spelling, suffix_dedup, token_count, toxicity, warc
 from fieldmart.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score_documents(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+@query("op13_spelling")
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(table(spark, folder, "documents"))

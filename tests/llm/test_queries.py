@@ -24,7 +24,7 @@ def con():
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == [*range(1, 11), 12] and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == [*range(1, 11), 12, 13] and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", NAMES)
