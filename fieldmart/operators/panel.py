@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fieldmart.functions.numbers import to_number
 from fieldmart.functions.text import strip
 from fieldmart.operators.quantiles import group_quantiles
+from fieldmart.operators.ranks import with_codes
 
 CELL = ["state", "district", "crop", "season"]
 TARGET = "production_t"
@@ -76,12 +77,8 @@ def eligible(features: DataFrame, min_rows: int = MIN_CELL_ROWS) -> DataFrame:
 
 
 def with_ordinals(df: DataFrame, reference: DataFrame, columns: Sequence[str] = ("district", "state")) -> DataFrame:
-    """Dense alphabetical codes of each column over `reference`, from 0."""
-    from pyspark.ml.feature import StringIndexer
-
-    indexer = StringIndexer(inputCols=list(columns), outputCols=[f"{c}_ordinal" for c in columns],
-                            stringOrderType="alphabetAsc", handleInvalid="keep")
-    return indexer.fit(reference.select(*columns)).transform(df)
+    """Dense alphabetical codes of each column over `reference`, from 0; the labels stay in a table."""
+    return with_codes(df, reference, columns)
 
 
 def observed_years(features: DataFrame, year: str = "year_start") -> list:

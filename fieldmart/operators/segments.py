@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmart.functions.labels import tercile_label
 from fieldmart.operators.quantiles import attach_quantiles
+from fieldmart.operators.ranks import with_group_place
 
 # Tercile probabilities and the sentence that cites the thresholds.
 LOWER, UPPER = 0.333, 0.667
@@ -86,8 +87,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def names_per_segment(segments: DataFrame) -> DataFrame:
     """The region names of each segment with their rank in name order, one row each."""
-    rank = F.row_number().over(Window.partitionBy("segment").orderBy("region_name"))
-    return segments.select("segment", rank.alias("rank"), "region_name")
+    ranked = with_group_place(segments.select("segment", "region_name"), ["segment"], ["region_name"], "_place")
+    return ranked.select("segment", (F.col("_place") + 1).cast("int").alias("rank"), "region_name")
 
 
 def segment_overview(segments: DataFrame, profile: DataFrame) -> DataFrame:
