@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmart.llm import bpe, embedding_dedup, exact_dedup, jaccard_join, mixing, pii, quality, spelling, suffix_dedup, token_count, toxicity, warc
+from fieldmart.llm import bpe, embedding_dedup, exact_dedup, jaccard_join, mixing, pii, prefix_trie, quality, spelling, suffix_dedup, token_count, toxicity, warc
 from fieldmart.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,39 @@ def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_spelling")
 def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.group_variants(table(spark, folder, "documents"))
+
+
+@query("op11_prefix_trie", """
+with crc_table as (
+  select list(v order by i) as crcs
+  from (select i, list_reduce(list_concat([i], range(8)), lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as v
+        from range(256) r(i))),
+turns as (
+  select conv_id, {'r': coalesce(role, ''), 'x': coalesce(text, '')} as m,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as p
+  from conversations where conv_id is not null),
+whole as (select conv_id, list(m order by p) as own from turns group by conv_id),
+hashed as (
+  select conv_id, own, xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+           lambda a, b: xor(crcs[(xor(a, b) & 255) + 1], a >> 8))) % 9 as h
+  from whole, crc_table),
+rebuilt as (
+  select c.conv_id, list_concat(coalesce(f.own, [])[1:c.h], c.own[c.h + 1:]) as seq
+  from hashed c left join whole f on f.conv_id = c.conv_id - c.conv_id % 5),
+starts as (select conv_id, d, seq[1:d] as k, len(seq) = d as over from (select conv_id, seq, unnest(range(0, len(seq) + 1)) as d from rebuilt)),
+nodes as (
+  select d, k, min(conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (over), '')) as ends_sha256,
+         case when d = 0 then 0 else (count(*) - 1) * octet_length(encode(k[d].x)) end as saved
+  from starts group by d, k),
+children as (select d - 1 as d, k[1:d - 1] as k, count(*) as n from nodes where d > 0 group by 1, 2),
+grown as (select n.*, coalesce(c.n, 0) as n_children from nodes n left join children c on c.d = n.d and c.k = n.k),
+sums as (
+  select a as d, k[1:a] as k, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved_tokens
+  from (select k, n_children, saved, unnest(range(0, d + 1)) as a from grown) group by 1, 2)
+select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+       cast(s.saved_tokens as bigint) as saved_tokens, n.ends_sha256
+from grown n join sums s on s.d = n.d and s.k = n.k left join nodes p on p.d = n.d - 1 and p.k = n.k[1:n.d - 1]""")
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(table(spark, folder, "conversations")))

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from tests.llm.test_spelling import plain_groups, plain_words
 from tools.check_oracles import compare
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,13 +19,13 @@ NAMES = [n for n in entry.queries() if n.startswith("op")]
 @pytest.fixture(scope="module")
 def con():
     connection = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         connection.execute(f"create view {t} as select * from '{FOLDER}/{t}.parquet'")
     return connection
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == [*range(1, 11), 12, 13] and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -32,6 +33,10 @@ def test_query(spark, con, name):
     found = entry.queries()[name](spark, FOLDER)
     if name in entry.oracle_sql():
         assert compare(found, con, entry.oracle_sql()[name])[0] == "ok"
+    elif name == "op13_spelling":
+        docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+        assert {tuple(r) for r in found.select("word", "form", "root", "n", "n_near", "form_n").collect()} == {
+            (w, *v) for w, v in plain_groups(plain_words(docs)).items()}
     else:
         assert found.count() == con.execute(f"select count(*) from {TABLE.get(name, 'documents')}").fetchall()[0][0]
 
