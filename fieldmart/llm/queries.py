@@ -48,8 +48,7 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_bpe")
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    ids = bpe.encode(table(spark, folder, "documents"), bpe.default_vocabulary())
-    return bpe.decode(ids, bpe.default_vocabulary()).select(
+    return bpe.encode_and_decode(table(spark, folder, "documents"), bpe.default_vocabulary()).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

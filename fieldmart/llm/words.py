@@ -44,14 +44,21 @@ class Splitter:
         self._between = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
         self._path, self._library = path, None
 
+    def release(self) -> dict:
+        """The file's model, which the splitter itself does not need and keeps no longer."""
+        model, self.model = self.model, None
+        return model
+
     def _by_library(self, text: str) -> list[str]:
         if self._library is None:
             from tokenizers import Tokenizer
 
-            self._library = Tokenizer.from_file(self._path)
+            whole = Tokenizer.from_file(self._path)
+            self._library = whole.normalizer, whole.pre_tokenizer  # without the vocabulary
+        normalizer, splitter = self._library
         symbols = byte_symbols()
         back = {c: b for b, c in enumerate(symbols)}
-        pieces = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))
+        pieces = splitter.pre_tokenize_str(normalizer.normalize_str(text))
         return [bytes(back[c] for c in w).decode("utf-8") for w, _ in pieces]
 
     def words(self, text: str) -> list[str]:

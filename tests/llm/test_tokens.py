@@ -1,6 +1,9 @@
 """BPE encoding, decoding and counting against the tokenizers library."""
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -39,7 +42,7 @@ def test_trie_and_heap_equal_library(library):
 
 
 def test_small_caches_change_nothing(library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHED_WORDS", 20)
+    monkeypatch.setattr(bpe, "CACHED_WORD_BYTES", 5_000)
     monkeypatch.setattr(token_count, "CACHED_WORDS", 20)
     own, counter = bpe.TrieEncoder(VOCABULARY), token_count.PairMerger(VOCABULARY)
     for text in random_texts(40):
@@ -53,6 +56,8 @@ def test_documents(awkward, library):
     encoded = bpe.encode(awkward, VOCABULARY)
     assert sorted((str(r.doc_id), r.ids) for r in encoded.collect()) == expected
     decoded = bpe.decode(encoded, VOCABULARY).collect()
+    both = bpe.encode_and_decode(awkward, VOCABULARY).collect()
+    assert sorted(map(str, both)) == sorted(map(str, decoded))
     assert all(r.decoded == library.decode(r.ids, skip_special_tokens=False) for r in decoded)
     counted = token_count.count_tokens(awkward, VOCABULARY, limit=50).collect()
     assert sorted((str(r.doc_id), r.n_tokens) for r in counted) == sorted((d, len(i)) for d, i in expected)
@@ -63,3 +68,36 @@ def test_documents(awkward, library):
 def test_empty_table(nothing):
     assert bpe.decode(bpe.encode(nothing, VOCABULARY), VOCABULARY).count() == 0
     assert token_count.count_tokens(nothing, VOCABULARY).count() == 0
+
+
+def test_small_caches_and_batches_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_WORD_BYTES", 3000)
+    monkeypatch.setattr(bpe, "CACHED_PAIRS", 20)
+    own, texts = bpe.TrieEncoder(VOCABULARY), random_texts(60)
+    for start, end in bpe.by_bytes(texts, 200):
+        assert lists(own.encode(texts[start:end])) == [e.ids for e in library.encode_batch(texts[start:end], add_special_tokens=False)]
+    assert list(bpe.by_bytes(["a" * 9, "", "b", "c" * 50, "d"], 10)) == [(0, 3), (3, 4), (4, 5)] and not list(bpe.by_bytes([], 10))
+
+
+WORKER = """
+import random
+from fieldmart.llm import bpe
+
+def used():
+    return int(open("/proc/self/smaps_rollup").read().split("Pss_Anon:")[1].split()[0]) / 1024
+
+rnd, own = random.Random(1), bpe.encoder(bpe.default_vocabulary())
+start, most = used(), 0
+for _ in range(25):
+    own.encode([" ".join("".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(3, 14))) for _ in range(20000))])
+    most = max(most, own.bytes)
+print(start, used(), most)
+"""
+
+
+def test_a_worker_with_full_caches_stays_small():
+    """The tables, and the caches when they have been full more than once, in MB of a process of their own."""
+    out = subprocess.run([sys.executable, "-c", WORKER], capture_output=True, text=True, check=True, timeout=300,
+                         env=os.environ | {"PYTHONPATH": os.pathsep.join(p or "." for p in sys.path)})
+    start, full, most = map(float, out.stdout.split())
+    assert start < 120 and full < 200 and 0.7 * bpe.CACHED_WORD_BYTES < most <= bpe.CACHED_WORD_BYTES
