@@ -6,10 +6,14 @@ P(grade <= k) = logistic(threshold_k - score). The score gives the expected grad
 tail probability P(grade >= best), by which documents are kept.
 
 The model is fitted on at most `sample_rows` labelled documents, those with the smallest
-hash of their id; that bound is what the driver gathers, as feature numbers, not texts.
-A feature of fewer than `least_documents` of them has no weight: an absolute number, so with
-few labels few words count. Everything else runs over all rows: whole texts are scored in one pass without a shuffle,
-with a weight table of fixed size sent to the executors.
+hash of their id; that bound is what the driver gathers, as feature numbers in Arrow columns, not texts.
+A feature that goes along with the grade no better than chance (chi square for every cut between grades below
+`least_association`), or of fewer than `least_documents` fitted documents, has no weight: long texts
+hold thousands of words, whose noise would outweigh a few telling ones. The penalty of the weights and the
+probability from which documents are kept are results of the fit: on folds of the sample, the
+penalty of the largest held-out likelihood and the cut with the fewest held-out errors. Everything
+else runs over all rows: whole texts are scored in one pass without a shuffle, with a weight table
+of fixed size sent to the executors.
 
 Defined results: a null or empty text has only the feature of its length class; ids may be
 null or repeated, every input row gives one output row; rows of `labels` with nulls are
@@ -34,9 +38,17 @@ from fieldmart.llm.common import slices, text_rows
 
 BITS = 21
 SAMPLE_ROWS = 12_000
-KEEP_FROM = 0.6
 LEAST_DOCUMENTS = 10
-CACHED_WORDS = 400_000
+#: For `train`, where the association is asked for as well.
+LEAST_SAMPLED = 3
+#: Chi square with one degree of freedom that chance exceeds once in a thousand.
+LEAST_ASSOCIATION = 10.83
+#: Penalties tried on folds of the sample, and the number of folds.
+DECAYS, FOLDS = (1.5e-4, 1e-3), 3
+#: Fewer fitted documents than this aren't split into folds.
+LEAST_FOLDED = 30
+BEGINNINGS = (4, 5)
+CACHED_WORDS = 200_000
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 _SPACES = re.compile(r"\s+")
@@ -65,46 +77,102 @@ def shape_features(text: str, tokens: list[str], distinct: int) -> list[str]:
 
 
 class Features:
-    """Feature numbers of texts: one per distinct lower-cased word or run of symbols, and the classes of the shape."""
+    """Feature numbers of texts: one per distinct lower-cased word or run of symbols and per beginning of a word, and the classes of the shape."""
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
-    def of(self, text: str) -> list[int]:
+    def of(self, text: str) -> np.ndarray:
         tokens = _TOKEN.findall(text.lower())
         distinct = set(tokens)
         known = self.known
-        out = []
+        out: set[int] = set()
         for t in distinct:
-            number = known.get(t)
-            if number is None:
+            numbers = known.get(t)
+            if numbers is None:
                 if len(known) >= CACHED_WORDS:
                     known.clear()
-                number = known[t] = _bucket(t)
-            out.append(number)
-        out.extend(_bucket(f) for f in shape_features(text, tokens, len(distinct)))
-        return out
+                numbers = (_bucket(t), *(_bucket(f"{n} {t[:n]}") for n in BEGINNINGS if len(t) > n and t[0].isalnum()))
+                if len(t) <= 64:  # so that a bound on words is one on bytes
+                    known[t] = numbers
+            out.update(numbers)
+        out.update(_bucket(f) for f in shape_features(text, tokens, len(distinct)))
+        return np.fromiter(out, np.int32, len(out))
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights by feature number, and the ordered thresholds."""
+    """Weights by feature number, the ordered thresholds, and the tail probability from which documents are kept."""
 
     weights: np.ndarray
     thresholds: np.ndarray
+    keep_from: float = 0.5
+    decay: float = 1.5e-4
 
     def judge(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Expected grades and tail probabilities of the best grade."""
-        above = 1 / (1 + np.exp(self.thresholds[None, :] - scores[:, None]))
+        above = 1 / (1 + np.exp((self.thresholds[None, :] - scores[:, None]).clip(-500, 500)))
         return above.sum(axis=1), above[:, -1]
 
 
+def associated(features: list[np.ndarray], grades: np.ndarray, least_association: float) -> np.ndarray:
+    """Whether each feature goes along with a grade above some cut: the chi square reaches the bound."""
+    size, n = 1 << BITS, len(features)
+    flat, counts = np.concatenate(features), [len(f) for f in features]
+    found, out = np.bincount(flat, minlength=size), np.zeros(size, bool)
+    for cut in range(int(grades.max())):
+        above = (grades > cut).astype(float)
+        moved = np.bincount(flat, np.repeat(above - above.mean(), counts), minlength=size)
+        spread = above.var() * found * (1 - found / n)
+        out |= np.divide(moved**2, spread, out=np.zeros(size), where=spread > 0) >= least_association
+    return out
+
+
+def scores_of(model: Model, features: list[np.ndarray]) -> np.ndarray:
+    return np.array([model.weights[f].sum(dtype=np.float64) for f in features])
+
+
+def best_cut(tails: np.ndarray, good: np.ndarray) -> float:
+    """The cut between two tail probabilities that errs least; of equal ones the nearest to a half."""
+    order = np.argsort(tails)
+    tails, good = tails[order], good[order].astype(int)
+    cuts = np.concatenate([[0.0], (tails[1:] + tails[:-1]) / 2, [1.0]])
+    errors = np.concatenate([[0], np.cumsum(good)]) + np.concatenate([np.cumsum((1 - good)[::-1])[::-1], [0]])
+    least = cuts[errors == errors.min()]
+    return float(least[np.argmin(np.abs(least - 0.5))])
+
+
+def fit_on_folds(features: list[np.ndarray], grades: np.ndarray, decays: tuple[float, ...] = DECAYS, folds: int = FOLDS, **settings) -> Model:
+    """The fit with the penalty and the cut that do best on held-out folds."""
+    top, fold = int(grades.max()), np.random.default_rng(0).permutation(len(features)) % folds
+    if len(features) < LEAST_FOLDED or any(len(np.unique(grades[fold != k])) <= top for k in range(folds)):
+        return fit(features, grades, decay=decays[0], **settings)
+    found = []
+    for decay in decays:
+        tails, likely = np.zeros(len(features)), 0.0
+        for k in range(folds):
+            inside, outside = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+            model = fit([features[i] for i in inside], grades[inside], decay=decay, **settings)
+            scores = scores_of(model, [features[i] for i in outside])
+            above = 1 / (1 + np.exp((model.thresholds[None, :] - scores[:, None]).clip(-30, 30)))
+            each = -np.diff(np.hstack([np.ones((len(outside), 1)), above, np.zeros((len(outside), 1))]), axis=1)
+            likely += np.log(each[np.arange(len(outside)), grades[outside]].clip(1e-9)).sum()
+            tails[outside] = above[:, -1]
+        found.append((likely, decay, best_cut(tails, grades == top)))
+    _, decay, cut = max(found)
+    model = fit(features, grades, decay=decay, **settings)
+    return Model(model.weights, model.thresholds, cut, decay)
+
+
 def fit(features: list[np.ndarray], grades: np.ndarray, rounds: int = 200, decay: float = 1.5e-4, rate: float = 0.08,
-        least_documents: int = LEAST_DOCUMENTS) -> Model:
+        least_documents: int = LEAST_DOCUMENTS, least_association: float = 0.0) -> Model:
     """Most likely weights and thresholds with a squared penalty, by Adam over all rows at once."""
+    if least_association:
+        telling = associated(features, grades, least_association)
+        features = [f[telling[f]] for f in features]
     flat, where = np.unique(np.concatenate(features), return_inverse=True)
     counts = np.array([len(f) for f in features])
-    starts, rows = np.concatenate([[0], np.cumsum(counts)[:-1]]), np.repeat(np.arange(len(features)), counts)
+    rows = np.repeat(np.arange(len(features)), counts)
     top = int(grades.max())
     # a feature of a few documents can't be told from noise; 1 gives every feature a weight
     common = np.bincount(where, minlength=len(flat)) >= least_documents
@@ -116,7 +184,7 @@ def fit(features: list[np.ndarray], grades: np.ndarray, rounds: int = 200, decay
     for step in range(1, rounds + 1):
         w = free[:len(flat)]
         cuts = free[len(flat)] + np.concatenate([[0.0], np.cumsum(np.exp(free[len(flat) + 1:]))])
-        score = np.add.reduceat(w[where], starts)
+        score = np.bincount(rows, w[where], len(features))
         below = 1 / (1 + np.exp((score[:, None] - cuts[None, :]).clip(-50, 50)))
         slope = below * (1 - below)
         padded = np.hstack([np.zeros((n, 1)), below, np.ones((n, 1))])
@@ -154,30 +222,33 @@ def sample(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str,
         own = Features()
         for b in slices(batches):
             found = [own.of(t or "") for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.list_(pa.int32()))],
-                                             ["doc_id", "grade", "features"])
+            offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), lists], ["doc_id", "grade", "features"])
 
     return marked.mapInArrow(run, "doc_id long, grade int, features array<int>")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-          sample_rows: int = SAMPLE_ROWS, least_documents: int = LEAST_DOCUMENTS) -> Model | None:
+          sample_rows: int = SAMPLE_ROWS, least_documents: int = LEAST_SAMPLED, least_association: float = LEAST_ASSOCIATION) -> Model | None:
     """The fitted model, or None where fewer than two grades are labelled."""
-    rows = sorted((r["doc_id"], r["grade"], sorted(r["features"])) for r in
-                  sample(docs, labels, id_column, text_column, sample_rows).toLocalIterator())
-    found = sorted({g for _, g, _ in rows})
+    rows = sample(docs, labels, id_column, text_column, sample_rows).toArrow().sort_by("doc_id")
+    found, grades = np.unique(rows.column("grade").to_numpy(), return_inverse=True)
     if len(found) < 2:
         return None
-    return fit([np.array(f) for _, _, f in rows], np.array([found.index(g) for _, g, _ in rows]),
-               least_documents=least_documents)
+    lists = rows.column("features").combine_chunks()
+    flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    features = [np.sort(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return fit_on_folds(features, grades, least_documents=least_documents, least_association=least_association)
 
 
 def grade_documents(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text",
-                    keep_from: float = KEEP_FROM) -> DataFrame:
+                    keep_from: float | None = None) -> DataFrame:
     """One row per document: doc_id, expected_grade, tail_probability, kept."""
     if model is None:
         return docs.select(F.col(id_column).alias("doc_id"), F.lit(None).cast("double").alias("expected_grade"),
                            F.lit(None).cast("double").alias("tail_probability"), F.lit(True).alias("kept"))
+    cut = model.keep_from if keep_from is None else keep_from
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS weights of 4 bytes, whatever the data
 
     def build(pairs):
@@ -185,15 +256,16 @@ def grade_documents(docs: DataFrame, model: Model | None, id_column: str = "doc_
         for ids, texts in pairs:
             scores = np.array([fitted.weights[own.of(t)].sum(dtype=np.float64) for t in texts])
             grades, tails = fitted.judge(scores)
-            yield [ids.cast(pa.int64()), pa.array(grades), pa.array(tails), pa.array(tails >= keep_from)]
+            yield [ids.cast(pa.int64()), pa.array(grades), pa.array(tails), pa.array(tails >= cut)]
 
     return text_rows(docs, id_column, text_column, "doc_id long, expected_grade double, tail_probability double, kept boolean", build)
 
 
-def keep_good(docs: DataFrame, model: Model | None, text_column: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
+def keep_good(docs: DataFrame, model: Model | None, text_column: str = "text", keep_from: float | None = None) -> DataFrame:
     """The rows whose text is likely of the best grade, with all their columns."""
     if model is None:
         return docs
+    cut = model.keep_from if keep_from is None else keep_from
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_column)
 
@@ -201,6 +273,6 @@ def keep_good(docs: DataFrame, model: Model | None, text_column: str = "text", k
         own, fitted = Features(), sent.value
         for b in slices(batches):
             scores = np.array([fitted.weights[own.of(t or "")].sum(dtype=np.float64) for t in b.column(at).to_pylist()])
-            yield b.filter(pa.array(fitted.judge(scores)[1] >= keep_from))
+            yield b.filter(pa.array(fitted.judge(scores)[1] >= cut))
 
     return docs.mapInArrow(run, docs.schema)
