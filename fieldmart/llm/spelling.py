@@ -7,7 +7,7 @@ or the last half of either: so there is one trie of the words and one of the wor
 and states never meet the crowded nodes near the root. Level by level the states are joined with
 the edges of their depth: a state without edit follows its own letter, or skips, adds or replaces
 one; a state with one edit must follow its own letters. An edge knows the letters that may
-follow, so dead states are mostly not made, and an edge with one word below ends the walk by a
+follow and a few bits of the rests of the words below, so dead states are mostly not made, and an edge with one word below ends the walk by a
 comparison of what is left. States that reach a word's end are neighbours; their texts
 are compared once more, so a clash of hashes never shows.
 
@@ -89,16 +89,21 @@ def count_words(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def _edges(ways: DataFrame, depth: int) -> DataFrame:
-    """The trie's edges from nodes of this depth: letter (0: the word ends), child, words below, and what may follow."""
+    """The trie's edges from nodes of this depth: letter (0: the word ends), child, words below, and what may follow.
+
+    What may follow is a bit for each next letter, and a bit of 128 for the hash of each word's rest.
+    """
     follows = f"ascii(substring(text, {depth + 2}, 1))"
     return ways.filter(f"len >= {depth} and len <= {2 * depth + 2}").selectExpr(
         f"xxhash64(way, left(text, {depth})) as node", f"ascii(substring(text, {depth + 1}, 1)) as letter", "id",
         f"xxhash64(way, left(text, {depth + 1})) as child", f"xxhash64(substring(text, {depth + 2})) as rest",
         f"case when {follows} = 0 then 1L << 26 when {follows} < 192 then 1L << ({follows} - 97) else 0L end as low",
         f"case when {follows} >= 192 then 1L << ({follows} - 192) else 0L end as high",
+        "case when rest & 64 = 0 then 1L << cast(rest & 63 as int) else 0L end as even",
+        "case when rest & 64 = 64 then 1L << cast(rest & 63 as int) else 0L end as odd",
     ).groupBy("node", "letter").agg(
         F.count("*").alias("below"), F.min("id").alias("only"), F.min("child").alias("child"), F.min("rest").alias("rest"),
-        F.expr("bit_or(low)").alias("low"), F.expr("bit_or(high)").alias("high"))
+        *[F.expr(f"bit_or({mask})").alias(mask) for mask in ("low", "high", "even", "odd")])
 
 
 def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
@@ -111,12 +116,13 @@ def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
         if(edits = 0 and letter <> own and letter <> 0, struct(at as to, 1 as edited), null),
         if(edits = 0 and own <> 0 and after <> own and letter = after, struct(at + 2 as to, 1 as edited), null),
         if(edits = 1 and letter = own, struct(at + 1 as to, 1 as edited), null))))""")
-    ahead = "ascii(substring(text, to + 1, 1))"
-    return moves.filter(f"""edited = 0 or letter = 0 or case when below = 1 then xxhash64(substring(text, to + 1)) = rest
-        when {ahead} = 0 then (low >> 26) & 1 = 1 when {ahead} < 192 then (low >> ({ahead} - 97)) & 1 = 1
-        else (high >> ({ahead} - 192)) & 1 = 1 end""").selectExpr(
-        "id", "n", "text", "way", "to as at", "child as node", "edited as edits",
-        "edited = 1 and (letter = 0 or below = 1) as found", "only")
+    ahead, bit = "ascii(substring(text, to + 1, 1))", "cast(left_over & 63 as int)"
+    return moves.withColumn("left_over", F.expr("xxhash64(substring(text, to + 1))")).filter(
+        f"""edited = 0 or letter = 0 or (below = 1 and left_over = rest) or (below > 1
+        and if(left_over & 64 = 0, even >> {bit}, odd >> {bit}) & 1 = 1
+        and case when {ahead} = 0 then low >> 26 when {ahead} < 192 then low >> ({ahead} - 97) else high >> ({ahead} - 192) end & 1 = 1)"""
+    ).selectExpr("id", "n", "text", "way", "to as at", "child as node", "edited as edits",
+                 "edited = 1 and (letter = 0 or below = 1) as found", "only")
 
 
 def neighbours(words: DataFrame) -> DataFrame:
