@@ -93,12 +93,15 @@ define("market_days", """
         FROM mapped GROUP BY 1, 2) m ON d.region_name = m.region_name AND d.date = m.date""", "daily", "mapped")
 
 
-@query("A20_region_model_features", """
+define("market_features", """
     SELECT region_name, avg(temp_avg_c) AS avg_temp_c, sum(precipitation_mm) AS total_precip_mm,
            round(avg(humidity_pct), 4) AS avg_humidity_pct,
            round(avg(avg_market_price_inr_per_quintal), 4) AS market_price_signal_inr_per_quintal,
            coalesce(sum(total_arrivals_quintal), 0) AS total_arrivals_quintal
     FROM market_days GROUP BY 1""", "market_days")
+
+
+@query("A20_region_model_features", "SELECT * FROM market_features", "market_features")
 def a20(t):
     return market_features(t)
 

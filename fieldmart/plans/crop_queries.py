@@ -14,7 +14,6 @@ from fieldmart.plans.climate_queries import market_features
 from fieldmart.plans.market_queries import region_days
 
 CELL = ", ".join(P.CELL)
-VALIDATE, TEST = 1, 1  # the split that the SQL of M5, M7 to M10, T3 and the persistence forecast is given for
 
 define("crop_years", """
     SELECT state, district, crop, crop_type, season, year_start, year, area, production, "yield", state_code, district_code
@@ -102,7 +101,7 @@ define("good", f"""
     SELECT * FROM usable SEMI JOIN (SELECT {CELL} FROM usable GROUP BY ALL HAVING count(*) >= 6) USING ({CELL})""", "usable")
 define("years", "SELECT year_start, row_number() OVER (ORDER BY year_start DESC) AS back FROM (SELECT DISTINCT year_start FROM good)", "good")
 define("labelled", """
-    SELECT g.*, CASE WHEN back <= 1 THEN 'test' WHEN back <= 2 THEN 'validate' ELSE 'train' END AS split,
+    SELECT g.*, CASE WHEN back <= 2 THEN 'test' WHEN back <= 5 THEN 'validate' ELSE 'train' END AS split,
            coalesce(lag1_production, 0) AS baseline
     FROM good g JOIN years USING (year_start)""", "good", "years")
 
@@ -117,7 +116,7 @@ def good(t):
 
 def labelled(t):
     rows = good(t)
-    splits = P.temporal_splits(P.observed_years(rows), VALIDATE, TEST)
+    splits = P.temporal_splits(P.observed_years(rows))
     return P.with_split(rows, splits).withColumn("baseline", P.persistence())
 
 
@@ -258,7 +257,7 @@ def persistence_forecast(t):
     lagged = P.with_lags(loaded(t))
     rows = P.eligible(P.forecastable(lagged))
     years = P.observed_years(rows)
-    test = P.with_split(rows, P.temporal_splits(years, VALIDATE, TEST)).where(F.col("split") == "test")
+    test = P.with_split(rows, P.temporal_splits(years)).where(F.col("split") == "test")
     spread = P.residual_spread(test.withColumn("baseline", P.persistence()), "baseline").first()[0]
     return ML.forecast_frame(lagged, rows, None, "naive_persistence", spread, years[-1])
 
@@ -327,31 +326,90 @@ def t3(t):
     return P.held_out_rows(labelled(t).where(F.col("split") == "test"), "baseline")
 
 
-# -- fitted models: no SQL counterpart ---------------------------------------------
+# -- fitted models: the SQL states what no fit decides ---------------------------------
 
-@query("M6_boosted_trees")
+@query("M6_boosted_trees", f"""
+    SELECT {CELL}, year_start, split, production_t, baseline, true AS has_prediction FROM labelled WHERE split <> 'train'""", "labelled")
 def m6(t):
-    rows = ML.with_null_flags(ML.prepare(t.panel)[1])
-    marked = P.with_split(rows, P.temporal_splits(P.observed_years(rows)))
-    model = ML.fit_trees(marked.where(F.col("split") == "train"))
-    return model.transform(marked.where(F.col("split") == "test")).select(
-        *P.CELL, "year_start", "production_t", "prediction")
-
-
-@query("M11_forecast_frame")
+    """Held-out rows of the fitted trees; the predictions themselves are checked by tests."""
+    table, binning = ML.training_table(ML.prepare(t.panel)[1])
+    marked = P.with_split(table, P.temporal_splits(P.observed_years(table)))
+    trees = ML.fit_trees(marked.where(F.col("split") == "train"), binning)
+    scored = trees.score(marked.where(F.col("split") != "train")).withColumn("baseline", P.persistence())
+    fine = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    return scored.select(*P.CELL, "year_start", "split", "production_t", "baseline", fine.alias("has_prediction"))
+
+
+@query("M11_forecast_frame", f"""
+    SELECT {CELL}, state_code, district_code, crop_type, n_year_season_rows, forecast_year, latest_observed_year, observed_last_tonnes,
+           true AS has_forecast, 1.0e0 AS band_product FROM forecasts""", "forecasts")
 def m11(t):
-    return ML.run_forecast(t.panel).forecast
-
-
-@query("M12_model_report")
+    """Keys, counts and years of the forecast table, and its band: lower times upper is the square of the forecast."""
+    found = ML.run_forecast(t.panel).forecast
+    p = F.col("forecast_production_tonnes")
+    product = F.when(p > 0, F.round(F.col("forecast_lower_tonnes") * F.col("forecast_upper_tonnes") / (p * p), 6)).otherwise(1.0)
+    return found.select(
+        *P.CELL, "state_code", "district_code", "crop_type", "n_year_season_rows", "forecast_year", "latest_observed_year",
+        "observed_last_tonnes", (p.isNotNull() & (p >= 0)).alias("has_forecast"), product.alias("band_product"))
+
+
+@query("M12_model_report", f"""
+    SELECT 'prototype' AS model_status, false AS production_ready, 'production' AS target, 6 AS n_limitations,
+           (SELECT count(*) FROM forecasts) AS forecast_cells,
+           (SELECT count(*) FROM labelled WHERE split = 'train') AS training_rows,
+           (SELECT count(*) FROM labelled WHERE split = 'test') AS held_out_rows,
+           (SELECT string_agg(year_start, ',' ORDER BY year_start) FROM years WHERE back > 5) AS train_years,
+           (SELECT string_agg(year_start, ',' ORDER BY year_start) FROM years WHERE back BETWEEN 3 AND 5) AS validate_years,
+           (SELECT string_agg(year_start, ',' ORDER BY year_start) FROM years WHERE back <= 2) AS test_years,
+           (SELECT max(year_start + 1) || '-' || max(year_start + 2) FROM years) AS next_unobserved_year,
+           m.mae_t AS naive_mae_t, m.rmse_t AS naive_rmse_t, m.n_rows AS test_rows, a.n_crops AS n_crops, a.last_year AS last_year
+    FROM ({metrics_sql("labelled", "baseline", "split")}) m,
+         (SELECT count(DISTINCT crop) AS n_crops, max(year) AS last_year FROM panel) a
+    WHERE m.split = 'test'""", "labelled forecasts panel")
 def m12(t):
-    return ML.model_report(ML.run_forecast(t.panel), P.audit_agriculture(t.panel))
-
-
-@query("M13_price_model")
+    """The report, parsed again; metrics of the fitted model are left to the tests."""
+    report = ML.model_report(ML.run_forecast(t.panel), P.audit_agriculture(t.panel))
+    parsed = report.select(F.from_json("report", """
+        model_status string, production_ready boolean, target struct<variable: string, next_unobserved_year: string>,
+        limitations array<string>, forecast_cells long, training_rows long, held_out_rows long,
+        splits struct<train: array<int>, validate: array<int>, test: array<int>>,
+        metrics struct<naive_baseline_test_mae_t: double, naive_baseline_test_rmse_t: double, test_rows: long>,
+        dimensions struct<n_crops: long, last_year: string>""").alias("r"))
+    years = [F.array_join(F.col(f"r.splits.{k}").cast("array<string>"), ",").alias(f"{k}_years") for k in ("train", "validate", "test")]
+    return parsed.select(
+        "r.model_status", "r.production_ready", F.col("r.target.variable").alias("target"), F.size("r.limitations").alias("n_limitations"),
+        "r.forecast_cells", "r.training_rows", "r.held_out_rows", *years, "r.target.next_unobserved_year",
+        F.col("r.metrics.naive_baseline_test_mae_t").alias("naive_mae_t"), F.col("r.metrics.naive_baseline_test_rmse_t").alias("naive_rmse_t"),
+        "r.metrics.test_rows", "r.dimensions.n_crops", "r.dimensions.last_year")
+
+
+PRICE = "market_price_signal_inr_per_quintal"
+define("price_rows", f"""
+    SELECT *, ('0x' || substr(md5('42|' || coalesce(region_name, '')), 1, 8))::bigint % 10000 < 2000 AS held_out
+    FROM market_features""", "market_features")
+define("price_fit", f"""
+    SELECT *, y0 - bx * x0 - bz * z0 - bw * w0 AS b0 FROM (
+      SELECT *, (py * (zz * ww - zw * zw) - xz * (qy * ww - zw * ry) + xw * (qy * zw - zz * ry)) / det AS bx,
+             (xx * (qy * ww - zw * ry) - py * (xz * ww - zw * xw) + xw * (xz * ry - qy * xw)) / det AS bz,
+             (xx * (zz * ry - qy * zw) - xz * (xz * ry - qy * xw) + py * (xz * zw - zz * xw)) / det AS bw
+      FROM (SELECT *, xx * (zz * ww - zw * zw) - xz * (xz * ww - zw * xw) + xw * (xz * zw - zz * xw) AS det FROM (
+        SELECT avg(x) AS x0, avg(z) AS z0, avg(w) AS w0, avg(y) AS y0, var_pop(x) AS xx, var_pop(z) AS zz, var_pop(w) AS ww,
+               covar_pop(x, z) AS xz, covar_pop(x, w) AS xw, covar_pop(z, w) AS zw,
+               covar_pop(x, y) AS py, covar_pop(z, y) AS qy, covar_pop(w, y) AS ry
+        FROM (SELECT avg_temp_c AS x, total_precip_mm AS z, avg_humidity_pct AS w, {PRICE} AS y FROM price_rows
+              WHERE NOT held_out AND avg_temp_c IS NOT NULL AND total_precip_mm IS NOT NULL AND avg_humidity_pct IS NOT NULL
+                AND {PRICE} IS NOT NULL))))""", "price_rows")
+
+
+@query("M13_price_model", f"""
+    SELECT region_name, round(y, 4) AS actual_signal_inr_per_quintal, round(p, 4) AS predicted_signal_inr_per_quintal,
+           round(p - y, 4) AS difference_inr_per_quintal, round(CASE WHEN y <> 0 THEN (p - y) / y * 100 END, 4) AS prediction_error_pct
+    FROM (SELECT region_name, {PRICE} AS y, b0 + bx * avg_temp_c + bz * total_precip_mm + bw * avg_humidity_pct AS p
+          FROM price_rows, price_fit)""", "price_rows price_fit")
 def m13(t):
     rows = market_features(t)
-    return ML.price_forecast(rows, ML.train_price_model(rows))
+    found = ML.price_forecast(rows, ML.train_price_model(rows))
+    return found.select("region_name", *[F.round(c, 4).alias(c) for c in found.columns if c != "region_name"])
 
 
 @query("M15_forecast_gate", """

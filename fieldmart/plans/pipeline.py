@@ -205,8 +205,9 @@ def build_predictions(spark: SparkSession, layout: Layout, market_configured: bo
         gate.write.mode("overwrite").json(layout.catalog("ml_status"))
         step = ("demand_forecast", "skipped_market_gate", layout.catalog("ml_status"), features.limit(0))
     else:
-        result = ML.price_forecast(features, ML.train_price_model(features))
-        sinks.write_table(result, layout.gold("forecast_results"))
+        model = ML.train_price_model(features)
+        sinks.write_table(ML.price_forecast(features, model), layout.gold("forecast_results"))
+        ML.price_report(features, model).write.mode("overwrite").text(layout.catalog("price_model_report"))
         step = ("demand_forecast", "success", layout.gold("forecast_results"), _read(spark, layout.gold("forecast_results")))
     steps = sinks.run_metadata([step, ("weather_exposure_segmentation", "success", layout.gold("region_segments"), segments)])
     steps.write.mode("overwrite").json(layout.catalog("prediction_run"))
