@@ -3,30 +3,51 @@
 The built-in exact `percentile` keeps every distinct value of a group in one
 aggregation buffer, so a group with a third of all rows would land in one task.
 Here the values are first counted (combined before the shuffle, so copies of one
-value are cheap), then summed per logarithmic bucket. Only the buckets that hold
-the wanted ranks are read value by value. The result is exact for any bucket width.
+value are cheap). Each value has an order-preserving 64-bit image; its leading bits are the
+value's bucket. Only the buckets that hold wanted ranks are read value by value, and of
+those a bucket with more than `SPLIT_VALUES` distinct values is split again by its next
+bits first, so that a group whose values lie close together is divided like any other. What
+is left differs in the last bits only and is bounded. The result is exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per doubling of the absolute value: about 0.07 % wide each.
-BUCKETS_PER_OCTAVE = 1024
-_OCTAVE_SHIFT = 1100  # keeps the bucket of the smallest positive double above zero
+#: Leading bits of the image that name a bucket: sign, exponent and 12 bits of the fraction, about 0.02 % wide.
+BUCKET_BITS = 24
+#: Further bits by which a large bucket is split; the 20 bits behind them bound what one task orders.
+SPLIT_BITS = 20
+#: Distinct values of a bucket that a task orders without another split.
+SPLIT_VALUES = 100_000
 
+_FRACTION = 52  # bits of a double's fraction
 
-def _bucket(value):
-    size = F.floor(F.log2(F.abs(value)) * BUCKETS_PER_OCTAVE) + _OCTAVE_SHIFT * BUCKETS_PER_OCTAVE
-    signed = F.when(value > 0, size).when(value < 0, -size)
-    return F.coalesce(signed, F.lit(0).cast("long"))  # never null, so joins add no filter to one branch only
+
+def ordered_image(value: Column) -> Column:
+    """A long in the same order as the double: its bits, negated below zero; both zeros have 0."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("double")
+    power = F.pow(F.lit(2.0), guess)
+    # the logarithm may round over a power of two; below the least exponent the fraction has no leading one
+    exponent = F.greatest(guess + F.when(size < power, -1.0).when(size >= power * 2, 1.0).otherwise(0.0), F.lit(-1022.0))
+    fraction = size / F.pow(F.lit(2.0), exponent)
+    one = float(1 << _FRACTION)
+    image = (exponent + 1022.0).cast("long") * F.lit(1 << _FRACTION) + (fraction * one).cast("long")
+    positive = F.when(size == float("inf"), F.lit(2047 << _FRACTION)).when(size > 0, image).otherwise(F.lit(0).cast("long"))
+    return F.when(value < 0, -positive).otherwise(positive)
+
+
+def _bucket(value: Column) -> Column:
+    """Never null, so joins add no filter to one branch only."""
+    return F.coalesce(F.shiftright(ordered_image(value), 64 - BUCKET_BITS), F.lit(0).cast("long"))
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float],
-                    weight: str | None = None, count_as: str | None = None) -> DataFrame:
+                    weight: str | None = None, count_as: str | None = None, split_values: int = SPLIT_VALUES) -> DataFrame:
     """Linear-interpolated quantiles of `value` per key, nulls ignored.
 
     `quantiles` maps output column names to probabilities, `weight` names a column of
@@ -44,33 +65,41 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: M
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_c"))
         .withColumn("_b", _bucket(F.col("_v")))
     )
-    group = Window.partitionBy(*keys)  # holds bucket totals only, a bounded number
-    buckets = (
-        counted.groupBy(*keys, "_b").agg(F.sum("_c").alias("_n"))
-        .withColumn("_total", F.sum("_n").over(group))
-        .withColumn("_before", F.sum("_n").over(
-            group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
-    )
 
     def rank(p: float, side):
         return side(F.lit(float(p)) * (F.col("_total") - 1)).cast("long")
 
+    def wanted(start: Column, end: Column) -> Column:
+        """Whether a range of ranks holds one that is asked for."""
+        ranks = [rank(p, side) for p in quantiles.values() for side in (F.floor, F.ceil)]
+        held = F.lit(False)
+        for r in ranks:
+            held = held | ((start <= r) & (r < end))
+        return held
+
+    def running(part: Sequence[str], order: str, count: str) -> Column:
+        return F.sum(count).over(Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+
+    # bucket totals only, a bounded number per group
+    buckets = counted.groupBy(*keys, "_b").agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d")).withColumns({
+        "_total": F.sum("_n").over(Window.partitionBy(*keys)), "_before": running(keys, "_b", "_n") - F.col("_n")})
+    targets = buckets.where(wanted(F.col("_before"), F.col("_before") + F.col("_n"))).select(*keys, "_b", "_d", "_total", "_before")
+
+    small = counted.join(targets.where(F.col("_d") <= split_values).drop("_d"), [*keys, "_b"])
+    part = F.shiftright(ordered_image(F.col("_v")), 64 - BUCKET_BITS - SPLIT_BITS)
+    large = counted.join(targets.where(F.col("_d") > split_values).drop("_d"), [*keys, "_b"]).withColumn("_s", part)
+    # totals of at most 2 ** SPLIT_BITS parts of a bucket
+    parts = large.groupBy(*keys, "_b", "_s", "_total", "_before").agg(F.sum("_c").alias("_n")).withColumn(
+        "_before", F.col("_before") + running([*keys, "_b"], "_s", "_n") - F.col("_n"))
+    chosen = parts.where(wanted(F.col("_before"), F.col("_before") + F.col("_n"))).select(*keys, "_s", F.col("_before").alias("_from"))
+    divided = large.join(chosen, [*keys, "_s"])
+    ranked = small.select(*keys, "_v", "_c", "_total", (F.col("_before") + running([*keys, "_b"], "_v", "_c")).alias("_end")).unionByName(
+        divided.select(*keys, "_v", "_c", "_total", (F.col("_from") + running([*keys, "_s"], "_v", "_c")).alias("_end")))
+    ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
+
     def holds(r):
         return (F.col("_start") <= r) & (r < F.col("_end"))
 
-    wanted = F.lit(False)
-    for p in quantiles.values():
-        for side in (F.floor, F.ceil):
-            r = rank(p, side)
-            wanted = wanted | ((F.col("_before") <= r) & (r < F.col("_before") + F.col("_n")))
-    targets = buckets.where(wanted).select(*keys, "_b", "_total", "_before")
-
-    run = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        counted.join(targets, [*keys, "_b"])
-        .withColumn("_end", F.col("_before") + F.sum("_c").over(run))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-    )
     picks, outputs = [], []
     for i, (name, p) in enumerate(quantiles.items()):
         lo, hi = rank(p, F.floor), rank(p, F.ceil)
