@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmart.operators.contracts import blank
@@ -29,6 +29,18 @@ CROP_BOUNDS = {f"{c} < 0": f"{c} < 0" for c in (
     "latest_modal_price", "obs_temp_max_c", "obs_temp_min_c")}
 
 
+#: The tables that monitoring expects, and what their absence means: dataset, check, status, detail.
+EXPECTED_TABLES = [
+    ("weather", "row_count", FAIL, "silver table missing"),
+    ("geo", "row_count", FAIL, "silver table missing"),
+    ("india_mandi", "duplicates", INFO, "silver table absent (no market data yet)"),
+    ("india_agriculture", "duplicates", INFO, "silver table absent"),
+    ("india_region_features", "duplicates", INFO, "gold table absent"),
+    ("india_crop_summary", "duplicates", INFO, "gold table absent"),
+]
+NO_MANIFEST = "gold manifest absent"
+
+
 @dataclass(frozen=True)
 class Rule:
     """One check of a table: the row conditions it counts and its report entry.
@@ -119,10 +131,15 @@ def missing_prices_rule(dataset: str, price_days: Column) -> Rule:
         "missing_prices", dataset, F.when((n > 0) | silent, INFO).otherwise(PASS), detail))
 
 
-def absent(df: DataFrame, check: str, dataset: str, detail: str) -> DataFrame:
-    """An informational row for a table that is not there; `df` only lends the session."""
-    return df.limit(0).agg(F.count(F.lit(1)).alias("_n")).select(
-        *_row(check, dataset, F.lit(INFO), F.lit(detail)))
+def names_of(spark: SparkSession, found: Sequence[str]) -> DataFrame:
+    """A catalog listing as a table: one row per dataset that is there."""
+    return spark.createDataFrame([(n,) for n in found], "dataset string")
+
+
+def absent_tables(present: DataFrame, expected: Sequence[tuple[str, str, str, str]] = EXPECTED_TABLES) -> DataFrame:
+    """A report row for each expected dataset that the listing `present` (dataset) lacks."""
+    wanted = present.sparkSession.createDataFrame(list(expected), "dataset string, check string, status string, detail string")
+    return wanted.join(present.select("dataset"), "dataset", "left_anti").select(*REPORT)
 
 
 def check_freshness(stamps: DataFrame, column: str, as_of: Column, max_age_hours: int = MAX_AGE_HOURS) -> DataFrame:
@@ -206,12 +223,20 @@ def check_missing_weather(region_features: DataFrame, dataset: str = "india_regi
     return n.select(*_row("missing_weather", dataset, status, detail))
 
 
-def check_staleness(manifests: DataFrame, as_of: Column, max_age_hours: int = MAX_AGE_HOURS) -> DataFrame:
-    """One row per manifest (dataset, generated_at); an unparseable stamp is informational."""
+def check_staleness(manifests: DataFrame, as_of: Column, max_age_hours: int = MAX_AGE_HOURS,
+                    expected: DataFrame | None = None) -> DataFrame:
+    """One row per manifest (dataset, generated_at); an unparseable stamp is informational.
+
+    With `expected` (dataset) a dataset without a manifest has a row too.
+    """
+    kept = manifests.select("dataset", "generated_at", F.lit(True).alias("_there"))
+    if expected is not None:
+        kept = expected.select("dataset").distinct().join(kept, "dataset", "full")
     age = (F.unix_timestamp(as_of) - F.unix_timestamp(F.col("generated_at").try_cast("timestamp"))) / 3600
-    aged = manifests.withColumn("age", age)
+    aged = kept.withColumn("age", age)
     status = F.when(F.col("age").isNull(), INFO).when(F.col("age") > max_age_hours, FAIL).otherwise(PASS)
-    detail = F.when(F.col("age").isNull(), "gold manifest has no parseable generated_at").otherwise(
+    detail = F.when(F.col("_there").isNull(), NO_MANIFEST).when(
+        F.col("age").isNull(), "gold manifest has no parseable generated_at").otherwise(
         F.format_string("manifest generated %.1fh ago (max allowed %d h)", "age", F.lit(max_age_hours)))
     return aged.select(F.lit("staleness").alias("check"), "dataset", status.alias("status"), detail.alias("detail"))
 
@@ -230,36 +255,59 @@ def overall(checks: DataFrame) -> DataFrame:
     )
 
 
-def health_report(checks: DataFrame, as_of: Column) -> DataFrame:
-    """One JSON document; the checks are a fixed list, a few rows per table."""
+def health_report(checks: DataFrame, as_of: Column, observed: DataFrame | None = None) -> DataFrame:
+    """One JSON document; the checks are a fixed list, a few rows per table. `observed` is one row of figures."""
     entries = checks.agg(
         F.when(F.bool_or(F.col("status") == FAIL), FAIL).otherwise(PASS).alias("status"),
         F.array_sort(F.collect_list(F.struct(*REPORT))).alias("checks"))
     issues = F.filter("checks", lambda c: c["status"] == FAIL)
+    figures = [] if observed is None else [observed.select(F.struct(*observed.columns)).scalar().alias("observed")]
     return entries.select(F.to_json(F.struct(
-        as_of.cast("string").alias("checked_at"), "status", issues.alias("issues"), "checks")).alias("report"))
+        as_of.cast("string").alias("checked_at"), "status", issues.alias("issues"), "checks", *figures)).alias("report"))
+
+
+def observed_figures(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
+    """One row: the rows of each table that is there, and the records and days with and without a price."""
+    one = spark.range(1)
+    columns = [t.agg(F.count(F.lit(1))).scalar().alias(f"{n}_rows") for n, t in tables.items() if t is not None]
+    trades, features = tables.get("trades"), tables.get("region_features")
+    if trades is not None:
+        columns.append(trades.agg(F.count_if(F.col("modal_price").isNull())).scalar().alias("trades_without_price"))
+    if features is not None:
+        columns.append(price_day_count(features).scalar().alias("price_days"))
+    return one.select(*columns) if columns else one.select(F.lit(0).alias("tables"))
 
 
-def artifact_checks(trades: DataFrame, agri: DataFrame, region_features: DataFrame, crop_summary: DataFrame,
-                    geo: DataFrame, manifests: DataFrame, as_of: Column) -> DataFrame:
-    """All checks over the silver and gold tables, one pass per table and key."""
+def artifact_checks(trades: DataFrame | None, agri: DataFrame | None, region_features: DataFrame | None,
+                    crop_summary: DataFrame | None, geo: DataFrame | None, manifests: DataFrame, as_of: Column,
+                    expected_manifests: Sequence[str] = ()) -> DataFrame:
+    """All checks over the silver and gold tables, one pass per table and key.
+
+    A table that is None has one row from the list of expected tables; without `geo` districts aren't compared.
+    """
+    spark = manifests.sparkSession
     rf, cs = "india_region_features", "india_crop_summary"
-    marked = mark_unknown_places(crop_summary, geo)
-    return combine([
-        run_rules(trades, ["date", "state", "district", "apmc", "commodity", "variety"], [
-            duplicates_rule("india_mandi", "trade-day rows"),
-            missing_prices_rule("india_mandi", price_day_count(region_features).scalar())]),
-        run_rules(agri, ["state", "district", "crop", "season", "year"], [
-            duplicates_rule("india_agriculture", "season-aware rows")]),
-        run_rules(region_features, ["region_name", "date"], [
+    tables = {"india_mandi": trades, "india_agriculture": agri, rf: region_features, cs: crop_summary}
+    present = names_of(spark, [*(n for n, t in tables.items() if t is not None), "weather", "geo"])
+    found = [absent_tables(present), check_staleness(
+        manifests, as_of, expected=names_of(spark, expected_manifests) if expected_manifests else None)]
+    if trades is not None:
+        days = price_day_count(region_features).scalar() if region_features is not None else F.lit(None).cast("long")
+        found.append(run_rules(trades, ["date", "state", "district", "apmc", "commodity", "variety"], [
+            duplicates_rule("india_mandi", "trade-day rows"), missing_prices_rule("india_mandi", days)]))
+    if agri is not None:
+        found.append(run_rules(agri, ["state", "district", "crop", "season", "year"], [
+            duplicates_rule("india_agriculture", "season-aware rows")]))
+    if region_features is not None:
+        found += [run_rules(region_features, ["region_name", "date"], [
             duplicates_rule(rf, "(region_name, date) rows"),
             empty_geography_rule(rf),
-            impossible_rule(rf, REGION_BOUNDS, region_features.columns)]),
-        run_rules(marked, ["state", "district", "crop"], [
+            impossible_rule(rf, REGION_BOUNDS, region_features.columns)]), check_missing_weather(region_features)]
+    if crop_summary is not None:
+        marked = crop_summary if geo is None else mark_unknown_places(crop_summary, geo)
+        found.append(run_rules(marked, ["state", "district", "crop"], [
             duplicates_rule(cs, "(state, district, crop) rows"),
             empty_geography_rule(cs),
-            unknown_places_rule(cs, F.col("_unknown")),
-            impossible_rule(cs, CROP_BOUNDS, crop_summary.columns)]),
-        check_missing_weather(region_features),
-        check_staleness(manifests, as_of),
-    ])
+            *([] if geo is None else [unknown_places_rule(cs, F.col("_unknown"))]),
+            impossible_rule(cs, CROP_BOUNDS, crop_summary.columns)]))
+    return combine(found)

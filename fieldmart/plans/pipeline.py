@@ -23,6 +23,7 @@ from fieldmart.operators import region_features as R
 from fieldmart.operators import segments as G
 from fieldmart.operators.dedupe import keep_first, price_contradiction, quarantine
 from fieldmart.sources import feeds, reference, sinks
+from fieldmart.sources.json_documents import land_documents
 
 CROP_KEY = ["state", "district", "crop", "season", "year"]
 
@@ -74,7 +75,8 @@ def land_crops(spark: SparkSession, csv: str, registry_json: str, layout: Layout
 
 
 def land_weather(spark: SparkSession, json: str, layout: Layout, stamp: str) -> DataFrame:
-    weather = feeds.read_weather(spark, json)
+    land_documents(spark, json, layout.bronze(f"weather_lines/{stamp}"))
+    weather = feeds.read_weather(spark, layout.bronze(f"weather_lines/{stamp}"))
     return sinks.write_bronze(weather, layout.bronze("weather"), "weather", stamp, source=json, ingested_at_utc=stamp)
 
 
@@ -214,21 +216,37 @@ def build_predictions(spark: SparkSession, layout: Layout, market_configured: bo
     return steps
 
 
+#: Gold tables whose manifests monitoring expects.
+MANIFESTS = ["region_features", "market_summary", "crop_summary"]
+
+
 def monitor(spark: SparkSession, layout: Layout, as_of: Column | None = None) -> DataFrame:
-    """Freshness, row counts and artifact checks; writes the health report, returns the checks."""
+    """Freshness, row counts and artifact checks; writes the health report, returns the checks.
+
+    It runs after any subset of the stages: what is not there yet has a row that says so.
+    """
     now = as_of if as_of is not None else F.current_timestamp()
-    weather, geo = _read(spark, layout.silver("weather")), _read(spark, layout.silver("geo"))
+    silver = {n: _read(spark, layout.silver(n)) for n in ("weather", "geo", "trades", "agriculture")}
+    gold = {n: _read(spark, layout.gold(n)) for n in ("region_features", "crop_summary")}
+    weather, geo = silver["weather"], silver["geo"]
     stamps = feeds.read_optional(spark, layout.bronze("weather/meta/*"), "json")
-    regions = geo.agg(F.count(F.lit(1))).scalar()
-    manifests = spark.read.option("recursiveFileLookup", True).json(layout.catalog("manifests"))
+    manifests = feeds.read_optional(spark, layout.catalog("manifests"), "json", recursiveFileLookup=True)
+    no_stamps = spark.createDataFrame([], "retrieved_at string")
+    no_manifests = spark.createDataFrame([], "dataset string, generated_at string")
+    if manifests is not None and "generated_at" not in manifests.columns:
+        manifests = manifests.withColumn("generated_at", F.lit(None).cast("string"))
+    regions = geo.agg(F.count(F.lit(1))).scalar() if geo is not None else F.lit(1)
+    counted = Q.names_of(spark, [*(n for n in ("weather", "geo") if silver[n] is not None), *(t[0] for t in Q.EXPECTED_TABLES[2:])])
     checks = [
-        Q.check_freshness(stamps, "retrieved_at", now),
-        Q.check_row_count(weather, "weather", regions * Q.WEATHER_DAYS),
+        Q.check_freshness(no_stamps if stamps is None else stamps, "retrieved_at", now),
+        Q.absent_tables(counted),
+        *([Q.check_row_count(weather, "weather", regions * Q.WEATHER_DAYS)] if weather is not None else []),
+        *([Q.check_row_count(geo, "geo", 1)] if geo is not None else []),
         Q.artifact_checks(
-            _read(spark, layout.silver("trades")), _read(spark, layout.silver("agriculture")),
-            _read(spark, layout.gold("region_features")), _read(spark, layout.gold("crop_summary")), geo,
-            manifests.select("dataset", "generated_at"), now),
+            silver["trades"], silver["agriculture"], gold["region_features"], gold["crop_summary"], geo,
+            (no_manifests if manifests is None else manifests).select("dataset", "generated_at"), now, MANIFESTS),
     ]
     rows = Q.combine(checks)
-    Q.health_report(rows, now).write.mode("overwrite").text(layout.catalog("health_report"))
+    observed = Q.observed_figures(spark, {**silver, **gold})
+    Q.health_report(rows, now, observed).write.mode("overwrite").text(layout.catalog("health_report"))
     return rows

@@ -279,30 +279,80 @@ def all_checks(t):
     """The checks read written tables, as monitoring does: each is computed once."""
     features = materialized(region_days(t), "region_features")
     crops = materialized(K.crop_summary(t.agri, t.trades, features, "F", ["row_id"]), "crop_summary")
-    return Q.artifact_checks(t.trades, t.agri, features, crops, t.geo, manifests(t), as_of())
-
-
-@query("X1_check_union", """
-    SELECT 'duplicates' AS "check", 'india_mandi' AS dataset, 'FAIL' AS status UNION ALL SELECT 'duplicates', 'india_agriculture', 'PASS'
-    UNION ALL SELECT 'duplicates', 'india_region_features', 'PASS' UNION ALL SELECT 'duplicates', 'india_crop_summary', 'PASS'
-    UNION ALL SELECT 'missing_geo', 'india_region_features', 'PASS' UNION ALL SELECT 'missing_geo', 'india_crop_summary', 'PASS'
-    UNION ALL SELECT 'missing_geo', 'india_crop_summary', 'PASS'
-    UNION ALL SELECT 'impossible_values', 'india_region_features',
-        CASE WHEN (SELECT count(*) FROM weather WHERE humidity_pct > 100) > 0 THEN 'FAIL' ELSE 'PASS' END
-    UNION ALL SELECT 'impossible_values', 'india_crop_summary', 'PASS' UNION ALL SELECT 'missing_prices', 'india_mandi', 'INFO'
-    UNION ALL SELECT 'missing_weather', 'india_region_features', 'PASS'
-    UNION ALL SELECT 'staleness', event_type, CASE WHEN event_type = 'error' THEN 'INFO' ELSE 'FAIL' END FROM (SELECT DISTINCT event_type FROM events)""",
-       "weather")
+    return Q.artifact_checks(t.trades, t.agri, features, crops, t.geo, manifests(t), as_of(), ["market_summary"])
+
+
+def counted(check: str, dataset: str, n: str, found: str, none: str, source: str) -> str:
+    """SQL of a check that fails where its count is above zero."""
+    return f"""
+        SELECT '{check}' AS "check", '{dataset}' AS dataset, CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
+               CASE WHEN n > 0 THEN n || ' {found}' ELSE '{none}' END AS detail FROM (SELECT {n} AS n FROM {source})"""
+
+
+def repeated(dataset: str, key: str, what: str, source: str) -> str:
+    return counted("duplicates", dataset, f"count(*) - count(DISTINCT ({key}))", f"duplicate {what}", f"no duplicate {what}", source)
+
+
+def bounded(dataset: str, bounds: dict[str, str], source: str) -> str:
+    names = ", ".join(f"CASE WHEN count(*) FILTER (WHERE {rule}) > 0 THEN '{name}' END" for name, rule in bounds.items())
+    return f"""
+        SELECT 'impossible_values', '{dataset}', CASE WHEN d <> '' THEN 'FAIL' ELSE 'PASS' END, CASE WHEN d <> '' THEN d ELSE 'no impossible values' END
+        FROM (SELECT concat_ws('; ', {names}) AS d FROM {source})"""
+
+
+EMPTY = "count(*) FILTER (WHERE coalesce(trim(state), '') = '' OR coalesce(trim(district), '') = '')"
+define("report_crops", """
+    SELECT c.*, obs_temp_max_c, obs_temp_min_c FROM crop_market c LEFT JOIN district_weather w ON lower(c.district) = lower(w.district)""",
+       "crop_market", "district_weather")
+define("report_rows", " UNION ALL ".join([
+    repeated("india_mandi", "date, state, district, apmc, commodity, variety", "trade-day rows", "trades"),
+    repeated("india_agriculture", "state, district, crop, season, year", "season-aware rows", "agri"),
+    repeated("india_region_features", "region_name, date", "(region_name, date) rows", "region_days"),
+    repeated("india_crop_summary", "state, district, crop", "(state, district, crop) rows", "report_crops"),
+    *[counted("missing_geo", d, EMPTY, "rows with empty state/district", "no empty state/district", source)
+      for d, source in (("india_region_features", "region_days"), ("india_crop_summary", "report_crops"))],
+    """SELECT 'missing_geo', 'india_crop_summary', CASE WHEN u = n THEN 'FAIL' ELSE 'PASS' END, u || '/' || n || ' rows without a monitored district'
+       FROM (SELECT count(*) AS n, count(*) FILTER (WHERE lower(district) NOT IN (SELECT lower(district) FROM geo)) AS u FROM report_crops)""",
+    bounded("india_region_features", Q.REGION_BOUNDS, "region_days"), bounded("india_crop_summary", Q.CROP_BOUNDS, "report_crops"),
+    """SELECT 'missing_prices', 'india_mandi', CASE WHEN n > 0 OR d = 0 THEN 'INFO' ELSE 'PASS' END,
+              CASE WHEN n > 0 THEN n || ' rows without modal price' WHEN d = 0 THEN 'no market price days observed' ELSE 'price channel present' END
+       FROM (SELECT (SELECT count(*) FROM trades WHERE modal_price IS NULL) AS n,
+                    (SELECT count(*) FROM region_days WHERE n_price_records > 0) AS d)""",
+    """SELECT 'missing_weather', 'india_region_features', CASE WHEN t > 0 OR h > 0 THEN 'FAIL' ELSE 'PASS' END,
+              CASE WHEN t > 0 OR h > 0 THEN t || ' weather-window rows missing temperature, ' || h || ' missing humidity'
+                   ELSE 'weather-window rows carry complete temperature/humidity' END
+       FROM (SELECT count(*) FILTER (WHERE temp_max_c IS NULL) AS t, count(*) FILTER (WHERE humidity_pct IS NULL) AS h
+             FROM region_days WHERE date IN (SELECT date FROM region_days WHERE temp_max_c IS NOT NULL))""",
+    """SELECT 'staleness', dataset, CASE WHEN h IS NULL THEN 'INFO' WHEN h > 24 THEN 'FAIL' ELSE 'PASS' END,
+              CASE WHEN dataset = 'market_summary' THEN 'gold manifest absent' WHEN h IS NULL THEN 'gold manifest has no parseable generated_at'
+                   ELSE 'manifest generated ' || round(h, 1) || 'h ago (max allowed 24 h)' END
+       FROM (SELECT event_type AS dataset, CASE WHEN event_type <> 'error' THEN
+                    date_diff('second', date_trunc('second', max(ts)), timestamp '2024-02-01 00:00:00') / 3600 END AS h
+             FROM events GROUP BY 1 UNION ALL SELECT 'market_summary', NULL)"""]), *"trades agri region_days report_crops geo".split())
+
+
+@query("X1_check_union", "SELECT * FROM report_rows", "report_rows")
 def x1(t):
-    return all_checks(t).select("check", "dataset", "status")
+    return all_checks(t)
 
 
 @query("Q9_health_report", """
-    SELECT 'FAIL' AS status, count(*) FILTER (WHERE s = 'PASS') AS passed, count(*) FILTER (WHERE s = 'INFO') AS informational,
-           count(*) FILTER (WHERE s = 'FAIL') AS failed
-    FROM (SELECT unnest(['FAIL', 'PASS', 'PASS', 'PASS', 'PASS', 'PASS', 'PASS', 'PASS', 'INFO', 'PASS']) AS s
-          UNION ALL SELECT CASE WHEN (SELECT count(*) FROM weather WHERE humidity_pct > 100) > 0 THEN 'FAIL' ELSE 'PASS' END
-          UNION ALL SELECT CASE WHEN event_type = 'error' THEN 'INFO' ELSE 'FAIL' END FROM (SELECT DISTINCT event_type FROM events))""",
-       "weather")
+    SELECT '2024-02-01 00:00:00' AS checked_at, CASE WHEN count(*) FILTER (WHERE status = 'FAIL') > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
+           count(*) FILTER (WHERE status = 'PASS') AS passed, count(*) FILTER (WHERE status = 'INFO') AS informational,
+           count(*) FILTER (WHERE status = 'FAIL') AS issues,
+           string_agg(detail, ' | ' ORDER BY "check", dataset, detail) FILTER (WHERE status = 'FAIL') AS issue_details,
+           (SELECT count(*) FROM trades) AS trades_rows, (SELECT count(*) FROM trades WHERE modal_price IS NULL) AS trades_without_price
+    FROM report_rows""", "report_rows")
 def q9(t):
-    return Q.overall(all_checks(t))
+    """The health report, parsed again."""
+    report = Q.health_report(all_checks(t), as_of(), Q.observed_figures(t.spark, {"trades": t.trades}))
+    entry = "array<struct<check: string, dataset: string, status: string, detail: string>>"
+    parsed = report.select(F.from_json("report", f"""checked_at string, status string, issues {entry}, checks {entry},
+        observed struct<trades_rows: long, trades_without_price: long>""").alias("r"))
+
+    def number(status):
+        return F.size(F.filter("r.checks", lambda c: c["status"] == status)).cast("long")
+
+    return parsed.select("r.checked_at", "r.status", number("PASS").alias("passed"), number("INFO").alias("informational"),
+                         F.size("r.issues").cast("long").alias("issues"), F.array_join("r.issues.detail", " | ").alias("issue_details"),
+                         "r.observed.trades_rows", "r.observed.trades_without_price")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fieldmart.operators.dedupe import keep_first
+from fieldmart.sources.json_documents import documents
 
 # Feed schemas and required columns of the source files.
 WEATHER_SCHEMA = (
@@ -51,10 +52,15 @@ def flatten_weather(docs: DataFrame) -> DataFrame:
     return keep_first(dated, ["region_name", "date"])
 
 
-def read_weather(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Daily weather from JSON: one array per file, or one document per line."""
-    docs = spark.read.schema(WEATHER_SCHEMA).option("multiLine", multiline).json(path)
-    return flatten_weather(docs)
+def read_weather(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Daily weather from JSON: one document per line, or with `multiline` arrays and documents of any layout.
+
+    Either way a file is read by as many tasks as its size asks for.
+    """
+    if not multiline:
+        return flatten_weather(spark.read.schema(WEATHER_SCHEMA).json(path))
+    found = documents(spark, path).filter("document is not null")
+    return flatten_weather(found.select(F.from_json("document", WEATHER_SCHEMA).alias("d")).select("d.*"))
 
 
 def newest_stamp(files: DataFrame, stamp: str = BATCH_STAMP) -> str | None:
@@ -140,8 +146,17 @@ def envelope_records(texts: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    """One text per file, then its records."""
-    return envelope_records(spark.read.option("wholetext", True).text(path))
+    """Records of the files at a path, one file read by many tasks.
+
+    Members of a list or of an envelope are records; an object that stands alone is read as `envelope_records` does.
+    """
+    found = documents(spark, path)
+    member = F.col("element") & F.col("document").isNotNull()
+    records = found.filter(member).select(
+        F.from_json("document", "map<string,string>").alias("record"), F.lit(None).cast("string").alias("malformed"))
+    broken = found.filter("document is null").select(F.lit(None).cast("map<string,string>").alias("record"), "malformed")
+    alone = envelope_records(found.filter(~member & F.col("document").isNotNull()).select(F.col("document").alias("value")))
+    return records.unionByName(broken).unionByName(alone)
 
 
 def optional_market(market: DataFrame | None) -> tuple[str, DataFrame | None]:

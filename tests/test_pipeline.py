@@ -69,7 +69,9 @@ def test_all_stages(spark, landed, tmp_path):
     fresh = F.to_timestamp(F.lit("2026-08-31 06:00:00"))
     checks = rows(L.monitor(spark, layout, fresh))
     assert [c for c in checks if c["status"] == "FAIL"] == []
-    assert json.loads(spark.read.text(layout.catalog("health_report")).first()[0])["status"] == "PASS"
+    report = json.loads(spark.read.text(layout.catalog("health_report")).first()[0])
+    assert report["status"] == "PASS" and report["observed"]["geo_rows"] == 2 and report["observed"]["trades_without_price"] == 0
+    assert {c["dataset"] for c in checks if c["check"] == "row_count"} == {"weather", "geo"}
 
 
 def test_absent_inputs_leave_markers(spark, landed, tmp_path):
@@ -78,6 +80,19 @@ def test_absent_inputs_leave_markers(spark, landed, tmp_path):
         "geo": "success", "weather": "no_data", "agriculture": "no_data", "trades": "no_data", "market": "not_configured"}
     assert {r["status"] for r in rows(L.build_integrated_gold(spark, layout))} == {"no_data"}
     assert L.build_forecast(spark, layout) is None
+    status = {(r["check"], r["dataset"]): r["status"] for r in rows(L.monitor(spark, layout, F.to_timestamp(F.lit("2026-08-31 06:00:00"))))}
+    assert status["row_count", "weather"] == status["freshness", "ingestion"] == "FAIL" and status["row_count", "geo"] == "PASS"
+    assert {status["duplicates", d] for d in ("india_mandi", "india_agriculture", "india_region_features", "india_crop_summary")} == {"INFO"}
+
+
+def test_monitoring_before_any_stage(spark, tmp_path):
+    layout = L.Layout(str(tmp_path))
+    found = rows(L.monitor(spark, layout))
+    assert {(r["check"], r["dataset"], r["status"]) for r in found} == {
+        ("freshness", "ingestion", "FAIL"), ("row_count", "weather", "FAIL"), ("row_count", "geo", "FAIL"),
+        *(("duplicates", d, "INFO") for d in ("india_mandi", "india_agriculture", "india_region_features", "india_crop_summary")),
+        *(("staleness", m, "INFO") for m in L.MANIFESTS)}
+    assert json.loads(spark.read.text(layout.catalog("health_report")).first()[0])["status"] == "FAIL"
 
 
 def test_a_broken_table_stops_at_its_gate(spark, landed, tmp_path):

@@ -61,8 +61,9 @@ def test_freshness(spark):
 def test_row_counts_and_missing_tables(spark, geo):
     assert Q.check_row_count(geo, "geo", 2).first()["status"] == "PASS"
     assert Q.check_row_count(geo, "geo", 3).first()["status"] == "FAIL"
-    assert rows(Q.absent(geo, "duplicates", "market", "table absent")) == [
-        {"check": "duplicates", "dataset": "market", "status": "INFO", "detail": "table absent"}]
+    present = Q.names_of(spark, ["weather", "geo", "india_mandi", "india_agriculture", "india_region_features"])
+    assert rows(Q.absent_tables(present)) == [
+        {"check": "duplicates", "dataset": "india_crop_summary", "status": "INFO", "detail": "gold table absent"}]
 
 
 def test_unknown_places_fail_only_when_all_are_unknown(agri, geo):
