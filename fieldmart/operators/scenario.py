@@ -97,9 +97,26 @@ def sensitivity(scenarios: DataFrame, keys: list[str], variations=VARIATIONS) ->
         "break_even_price", (F.col("margin_pct") - F.col("_base")).alias("margin_pct_delta"))
 
 
-def _risk(indicator: str, severity: str, detail: Column) -> Column:
-    return F.struct(F.lit(indicator).alias("indicator"), F.lit(severity).alias("severity"),
-                    detail.alias("detail"))
+# The published names, severities and sentences of the risks.
+RISKS = {
+    "above": ("Break-even above market", "caution",
+              "Your break-even price (₹%,.0f/quintal) is %.0f%% above the latest market price (₹%,.0f/quintal)."),
+    "below": ("Break-even below market", "info",
+              "Your break-even price (₹%,.0f/quintal) is %.0f%% below the latest market price (₹%,.0f/quintal)."),
+    "falling": ("Declining price trend", "warning", "Recent price trend shows a %.1f%% decline (7-day window)."),
+    "rising": ("Rising price trend", "info", "Recent price trend shows a %.1f%% increase (7-day window)."),
+    "high": ("High weather exposure", "caution", "This district shows high weather exposure (analytical label from observed weather)."),
+    "medium": ("Medium weather exposure", "info", "This district shows medium weather exposure (analytical label from observed weather)."),
+    "context": ("Crop production context", "info", "%s"),
+    "fewer": ("Declining arrivals", "warning", "Recent arrivals trend shows a %.1f%% decline."),
+    "more": ("Increasing arrivals", "info", "Recent arrivals trend shows a %.1f%% increase."),
+}
+
+
+def _risk(name: str, *values: Column) -> Column:
+    indicator, severity, sentence = RISKS[name]
+    detail = F.format_string(sentence, *values) if values else F.lit(sentence)
+    return F.struct(F.lit(indicator).alias("indicator"), F.lit(severity).alias("severity"), detail.alias("detail"))
 
 
 def risk_indicators() -> Column:
@@ -109,25 +126,13 @@ def risk_indicators() -> Column:
     gap = F.when((even > 0) & (market > 0), pct_change(market, even))
     price, arrival = F.col("price_trend_pct"), F.col("arrival_trend_pct")
     tier, context = F.col("weather_exposure_tier"), F.col("production_context")
-    above = "Your break-even price (₹%,.0f/quintal) is %.0f%% above the latest market price (₹%,.0f/quintal)."
-    below = "Your break-even price (₹%,.0f/quintal) is %.0f%% below the latest market price (₹%,.0f/quintal)."
-    exposed = "This district shows %s weather exposure (analytical label from observed weather)."
     return F.array_compact(F.array(
-        F.when(gap < -BREAK_EVEN_BAND, _risk("Break-even above market", "caution",
-                                             F.format_string(above, even, F.abs(gap), market)))
-        .when(gap > BREAK_EVEN_BAND, _risk("Break-even below market", "info",
-                                           F.format_string(below, even, gap, market))),
-        F.when(price < -PRICE_TREND_BAND, _risk("Declining price trend", "warning", F.format_string(
-            "Recent price trend shows a %.1f%% decline (7-day window).", price)))
-        .when(price > PRICE_TREND_BAND, _risk("Rising price trend", "info", F.format_string(
-            "Recent price trend shows a %.1f%% increase (7-day window).", price))),
-        F.when(tier.isin(HIGH_TIERS), _risk("High weather exposure", "caution", F.lit(exposed % "high")))
-        .when(tier.isin(MEDIUM_TIERS), _risk("Medium weather exposure", "info", F.lit(exposed % "medium"))),
-        F.when(F.coalesce(context, F.lit("")) != "", _risk("Crop production context", "info", context)),
-        F.when(arrival < -ARRIVAL_TREND_BAND, _risk("Declining arrivals", "warning", F.format_string(
-            "Recent arrivals trend shows a %.1f%% decline.", arrival)))
-        .when(arrival > ARRIVAL_TREND_BAND, _risk("Increasing arrivals", "info", F.format_string(
-            "Recent arrivals trend shows a %.1f%% increase.", arrival))),
+        F.when(gap < -BREAK_EVEN_BAND, _risk("above", even, F.abs(gap), market)).when(
+            gap > BREAK_EVEN_BAND, _risk("below", even, gap, market)),
+        F.when(price < -PRICE_TREND_BAND, _risk("falling", price)).when(price > PRICE_TREND_BAND, _risk("rising", price)),
+        F.when(tier.isin(HIGH_TIERS), _risk("high")).when(tier.isin(MEDIUM_TIERS), _risk("medium")),
+        F.when(F.coalesce(context, F.lit("")) != "", _risk("context", context)),
+        F.when(arrival < -ARRIVAL_TREND_BAND, _risk("fewer", arrival)).when(arrival > ARRIVAL_TREND_BAND, _risk("more", arrival)),
     ))
 
 

@@ -97,22 +97,34 @@ def j13(t):
     return signals(t)
 
 
-@query("C4_risk_indicators", """
-    SELECT scenario_id, indicator, severity FROM (
-        SELECT scenario_id, CASE WHEN gap < -10 THEN 'Break-even above market' WHEN gap > 10 THEN 'Break-even below market' END AS indicator,
-               CASE WHEN gap < -10 THEN 'caution' ELSE 'info' END AS severity
-        FROM (SELECT *, CASE WHEN break_even_price > 0 AND market_price > 0
-                             THEN (market_price - break_even_price) / break_even_price * 100 END AS gap FROM signals)
-        UNION ALL SELECT scenario_id, CASE WHEN price_trend_pct < -5 THEN 'Declining price trend' WHEN price_trend_pct > 5 THEN 'Rising price trend' END,
-               CASE WHEN price_trend_pct < -5 THEN 'warning' ELSE 'info' END FROM signals
-        UNION ALL SELECT scenario_id, CASE weather_exposure_tier WHEN 'High-Exposure' THEN 'High weather exposure' WHEN 'Moderate-Exposure' THEN 'Medium weather exposure' END,
-               CASE weather_exposure_tier WHEN 'High-Exposure' THEN 'caution' ELSE 'info' END FROM signals
-        UNION ALL SELECT scenario_id, CASE WHEN production_context IS NOT NULL THEN 'Crop production context' END, 'info' FROM signals
-        UNION ALL SELECT scenario_id, CASE WHEN arrival_trend_pct < -10 THEN 'Declining arrivals' WHEN arrival_trend_pct > 10 THEN 'Increasing arrivals' END,
-               CASE WHEN arrival_trend_pct < -10 THEN 'warning' ELSE 'info' END FROM signals)
-    WHERE indicator IS NOT NULL""", "signals")
+def risk_sql(name: str, when: str, *values: str) -> str:
+    """SQL rows of one risk: its name, severity and sentence, where the condition holds."""
+    indicator, severity, sentence = Z.RISKS[name]
+    parts, rest = [], sentence
+    for value in values:  # formats are tried in the sentence's order
+        at, mark = min((rest.index(m), m) for m in ("%,.0f", "%.0f", "%.1f", "%s") if m in rest)
+        shown = {"%,.0f": f"format('{{:,}}', cast(round({value}) AS bigint))", "%.0f": f"cast(cast(round({value}) AS bigint) AS varchar)",
+                 "%.1f": f"printf('%.1f', round({value}, 1))", "%s": value}[mark]
+        parts += [f"'{rest[:at]}'", shown]
+        rest = rest[at + len(mark):]
+    detail = " || ".join([*parts, f"'{rest}'"]).replace("%%", "%")
+    return f"SELECT scenario_id, '{indicator}' AS indicator, '{severity}' AS severity, {detail} AS detail FROM gaps WHERE {when}"
+
+
+define("gaps", """
+    SELECT *, CASE WHEN break_even_price > 0 AND market_price > 0 THEN (market_price - break_even_price) / break_even_price * 100 END AS gap
+    FROM signals""", "signals")
+
+
+@query("C4_risk_indicators", " UNION ALL ".join([
+    risk_sql("above", "gap < -10", "break_even_price", "abs(gap)", "market_price"),
+    risk_sql("below", "gap > 10", "break_even_price", "gap", "market_price"),
+    risk_sql("falling", "price_trend_pct < -5", "price_trend_pct"), risk_sql("rising", "price_trend_pct > 5", "price_trend_pct"),
+    risk_sql("high", "weather_exposure_tier = 'High-Exposure'"), risk_sql("medium", "weather_exposure_tier = 'Moderate-Exposure'"),
+    risk_sql("context", "production_context <> ''", "production_context"),
+    risk_sql("fewer", "arrival_trend_pct < -10", "arrival_trend_pct"), risk_sql("more", "arrival_trend_pct > 10", "arrival_trend_pct")]), "gaps")
 def c4(t):
-    return Z.risks(signals(t), ["scenario_id"]).select("scenario_id", "indicator", "severity")
+    return Z.risks(signals(t), ["scenario_id"])
 
 
 @query("C5_price_change_margin", """
