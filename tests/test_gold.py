@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,8 @@ from fieldmart.operators import climate as C
 from fieldmart.operators import crops as K
 from fieldmart.operators import market as M
 from fieldmart.operators import region_features as R
+from fieldmart.plans import base
+from fieldmart.plans import registered  # noqa: F401  (fills the registry)
 from tests.conftest import day, rows
 
 
@@ -91,3 +95,31 @@ def test_crop_summary_can_keep_states_apart(spark, agri, trades, geo, weather):
     assert apart["Goa"]["latest_modal_price"] == 77.0 and apart["Karnataka"]["latest_modal_price"] != 77.0
     joint = [r for r in rows(K.crop_summary(both, sold, features)) if r["crop"] == "Onion"]
     assert len({r["latest_modal_price"] for r in joint}) == 1
+
+
+def test_market_block_equals_its_parts(spark, tmp_path):
+    """Counts, distinct counts, medians and arrivals of mixed units, nulls and ties."""
+    import random
+    rng = random.Random(8)
+    pick = lambda *xs: rng.choice(xs)
+    data = [(pick("r1", "r2", None), day(f"2026-04-0{rng.randint(1, 3)}"), pick("m1", "m2", None), pick("c1", "c2", None),
+             pick(None, 5.0, 7.0, 9.5), pick("Rs./Quintal", "Rs./Unit", None), pick(None, 1.0, 2.5), pick("Metric Tonnes", "Bundle", None))
+            for _ in range(400)]
+    trades = spark.createDataFrame(data, "region_name string, date date, apmc string, commodity string, modal_price double, "
+                                         "price_unit string, arrival_quantity double, arrival_units string")
+    trades.write.parquet(f"{tmp_path}/trades")
+    stored = spark.read.parquet(f"{tmp_path}/trades")
+    block = R.market_block(stored)
+    parts = R.price_block(stored).join(R.arrival_block(stored), R.KEY, "full")
+    assert rows(block.select(*sorted(block.columns)), *R.KEY) == rows(parts.select(*sorted(block.columns)), *R.KEY)
+    only_bundles = R.market_block(stored.where("price_unit = 'Rs./Unit' and arrival_units = 'Bundle'"))
+    assert only_bundles.count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables absent")
+@pytest.mark.parametrize("name", ["J3_region_features", "A8_commodity_block"])
+def test_trades_are_scanned_once(spark, name):
+    df = base.QUERIES[name](spark, "/root/testdata/sf0.001")
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len([line for line in final.split("\n") if "FileScan parquet" in line and "l_" in line.split("FileScan parquet")[1][:60]]) == 1
