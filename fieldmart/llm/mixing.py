@@ -75,9 +75,17 @@ def _split_counts(counts: np.ndarray, part: int, whole: int, rng: np.random.Gene
     """How many of each source are among `part` of `whole` slots drawn without putting back."""
     if whole < 1_000_000_000:
         return rng.multivariate_hypergeometric(counts, part, method="marginals")
-    share = counts * (part / whole)  # beyond the generator's range the draw's spread is far below a shard
-    out = np.floor(share).astype(np.int64)
-    out[np.argsort(out - share, kind="stable")[:part - int(out.sum())]] += 1
+    # beyond that generator's range each source's number is drawn from the normal law of the same mean and spread,
+    # which such counts follow closely, and kept within what is left of the source and of the part
+    out = np.zeros_like(counts)
+    left, open_slots = whole, part
+    for i, n in enumerate(counts.tolist()):
+        others = left - n
+        share = n / left if left else 0.0
+        spread = (open_slots * share * (1 - share) * ((left - open_slots) / max(1, left - 1))) ** 0.5
+        drawn = round(open_slots * share + spread * float(rng.standard_normal()))
+        out[i] = min(max(drawn, 0, open_slots - others), n, open_slots)
+        left, open_slots = others, open_slots - int(out[i])
     return out
 
 

@@ -83,3 +83,19 @@ def test_documents(awkward, nothing):
     assert all(r.taken <= 3 * r["size"] for r in found)
     assert mixing.mix(nothing).count() == mixing.mixed_documents(nothing).count() == 0
     assert mixing.mixed_documents(awkward).columns == awkward.columns
+
+
+def test_draws_of_any_size_are_random_and_exact_in_sum():
+    counts = np.array([6_000_000_000_000, 3_000_000_000, 1_000_000_007, 0, 5])
+    whole = int(counts.sum())
+    part = whole // 2 + 1
+    draws = [mixing._split_counts(counts, part, whole, np.random.default_rng(s)) for s in range(200)]
+    assert all(int(d.sum()) == part and (d >= 0).all() and (d <= counts).all() for d in draws)
+    second = np.array([int(d[1]) for d in draws])
+    mean = part * (int(counts[1]) / whole)
+    sd = (mean * (1 - int(counts[1]) / whole) * (whole - part) / (whole - 1)) ** 0.5
+    assert len(set(second.tolist())) > 150 and 0.7 * sd < second.std() < 1.3 * sd
+    assert abs(second.mean() - mean) < 5 * sd / 200**0.5
+    slots = [4_000_000_000, 2_000_000_000]
+    count, before = mixing.shard_counts(slots, 10, shard_slots=1_000_000)
+    assert count.sum() == 1_000_000 and before.sum() == 10_000_000
