@@ -95,7 +95,7 @@ def test_published_protocol_at_full_length(spark):
     assert {(r.split, r.predictor) for r in run.metrics.collect()} == {(s, p) for s in ("validate", "test") for p in ("gradient_boosting", "naive_persistence")}
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
     report = json.loads(ML.model_report(run, P.audit_agriculture(t.panel)).first()[0])
-    assert report["model_selected_on_validation"] if "model_selected_on_validation" in report else report["metrics"]["model_selected_on_validation"] == run.chosen
+    assert report["model_selected_on_validation"] == report["metrics"]["model_selected_on_validation"] == run.chosen
     assert report["metrics"]["test_rows"] == report["held_out_rows"] == run.test.count()
     assert report["forecast_cells"] == run.forecast.count() and report["training_rows"] == run.train_rows > 0
     assert report["metrics"]["beat_naive_on_validation_mae"] == (run.chosen == "gradient_boosting")
