@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmart.functions.text import strip
-from fieldmart.operators.contracts import Contract, gate
+from fieldmart.operators.contracts import Contract, check_rows, gate
 
 FORMAT = "parquet"
 
@@ -46,11 +47,36 @@ def write_bronze(df: DataFrame, folder: str, name: str, stamp: str, raw: DataFra
     return record
 
 
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a written folder in the place of a table: one rename in the file system that holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    files = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(folder(path), True)
+    files.mkdirs(folder(path).getParent())
+    if not files.rename(folder(staged), folder(path)):
+        raise OSError(f"could not move {staged} to {path}")
+
+
 def write_silver(df: DataFrame, contract: Contract, path: str, rejects: str) -> DataFrame:
-    """Write the table after its contract; a failing table is not written."""
-    clean = gate(df, contract, rejects)
-    clean.write.mode("overwrite").parquet(path)
-    return clean
+    """Write, audit, publish: the table is written once, next to its place, and moved there if no row failed.
+
+    Failures are counted while it is written. A failing table is not published: the gate then writes its failures and
+    offending rows and raises; what was staged is left out of the way of readers.
+    """
+    spark, seen = df.sparkSession, Observation()
+    staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
+    checked = check_rows(df, contract)
+    passed = F.size("_violations") == 0
+    flagged = checked.withColumn("passed", passed).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(~passed).alias("bad")).drop("_violations")
+    flagged.write.partitionBy("passed").parquet(staged)
+    if seen.get["bad"]:
+        gate(df, contract, rejects)
+    if seen.get["rows"]:
+        publish(spark, f"{staged}/passed=true", path)
+    else:
+        checked.drop("_violations").limit(0).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def manifest(df: DataFrame, dataset: str, status: str = "success", inputs: Sequence[str] = (),

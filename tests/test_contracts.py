@@ -118,3 +118,21 @@ def test_membership(geo, agri):
     assert G.known_places(agri, geo, pair).count() == 4
     assert G.unknown_pairs(agri.withColumn("state", F.lit("Goa")), geo, pair).count() == 4
     assert G.known_places(geo, geo, {"state_code": "state_code", "district_code": "district_code"}).count() == 2
+
+
+def test_a_silver_table_is_written_once_and_only_published_when_clean(spark, weather, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from fieldmart.sources import sinks
+    written, real = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: written.append(path) or real(self, path, *a, **k))
+    path, rejects = f"{tmp_path}/silver/weather", f"{tmp_path}/rejects"
+    first = sinks.write_silver(weather, V.WEATHER, path, rejects)
+    assert len(written) == 1 and first.count() == spark.read.parquet(path).count() == 3
+    assert set(first.columns) == set(V.check_rows(weather, V.WEATHER).columns) - {"_violations"}
+    bad = weather.withColumn("humidity_pct", F.lit(130.0))
+    with pytest.raises(V.ContractViolation):
+        sinks.write_silver(bad, V.WEATHER, path, rejects)
+    assert spark.read.parquet(path).where("humidity_pct > 100").count() == 0 and spark.read.parquet(f"{rejects}/weather_rows").count() == 3
+    assert sinks.write_silver(weather.limit(1), V.WEATHER, path, rejects).count() == 1
+    assert sinks.write_silver(weather.limit(0), V.WEATHER, path, rejects).count() == 0
