@@ -421,11 +421,27 @@ def m15(t):
 
 @query("M16_run_metadata", """
     SELECT 'demand_forecast' AS step, 'skipped_market_gate' AS status, 'ml_status' AS output, 1 AS rows
-    UNION ALL SELECT 'weather_exposure_segmentation', 'success', 'region_segments', count(*) FROM features""", "features")
+    UNION ALL SELECT 'weather_exposure_segmentation', 'success', 'region_segments', count(*) FROM features
+    UNION ALL SELECT 'market_places', CASE WHEN count(*) > 0 THEN 'stopped_at_gate' ELSE 'success' END, 'silver/geo', 0 FROM market_places
+    WHERE NOT (length(state_code) = 2 AND mandi_apmc IS NOT NULL AND latitude BETWEEN 6 AND 37 AND longitude BETWEEN 68 AND 98)""",
+       "features market_places")
 def m16(t):
+    """Three steps that run: one its gate skips, one that succeeds, one that a contract stops."""
+    from fieldmart.operators.contracts import GEO
     from fieldmart.operators.segments import assign_segments
     from fieldmart.plans.climate_queries import features
-    from fieldmart.sources.sinks import run_metadata
-    return run_metadata([
-        ("demand_forecast", "skipped_market_gate", "ml_status", ML.gate_status(market_features(t), configured=False)),
-        ("weather_exposure_segmentation", "success", "region_segments", assign_segments(features(t)))])
+    from fieldmart.session import scratch_path
+    from fieldmart.sources.sinks import StepSkipped, run_steps, write_silver
+
+    def price_forecast():
+        rows = market_features(t)
+        gate = ML.gate_status(rows, configured=False)
+        if gate is not None:
+            raise StepSkipped("skipped_market_gate", gate)
+        return ML.price_forecast(rows, ML.train_price_model(rows))
+
+    path = scratch_path(t.spark, "steps")
+    return run_steps(t.spark, [
+        ("demand_forecast", "ml_status", price_forecast),
+        ("weather_exposure_segmentation", "region_segments", lambda: assign_segments(features(t))),
+        ("market_places", "silver/geo", lambda: write_silver(t.market_places, GEO, f"{path}/geo", f"{path}/_rejects"))])

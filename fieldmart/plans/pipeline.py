@@ -198,20 +198,27 @@ def build_forecast(spark: SparkSession, layout: Layout, **settings) -> ML.Foreca
 
 
 def build_predictions(spark: SparkSession, layout: Layout, market_configured: bool = False) -> DataFrame:
-    """Segments and the gated price forecast; returns one row per step."""
+    """The gated price forecast and the segments; returns one row per step with its observed status."""
     features = C.region_model_features(_read(spark, layout.gold("region_daily_features")))
-    sinks.write_table(G.assign_segments(features), layout.gold("region_segments"))
-    segments = _read(spark, layout.gold("region_segments"))
-    gate = ML.gate_status(features, market_configured)
-    if gate is not None:
-        gate.write.mode("overwrite").json(layout.catalog("ml_status"))
-        step = ("demand_forecast", "skipped_market_gate", layout.catalog("ml_status"), features.limit(0))
-    else:
+
+    def forecast() -> DataFrame:
+        gate = ML.gate_status(features, market_configured)
+        if gate is not None:
+            gate.write.mode("overwrite").json(layout.catalog("ml_status"))
+            raise sinks.StepSkipped("skipped_market_gate")
         model = ML.train_price_model(features)
         sinks.write_table(ML.price_forecast(features, model), layout.gold("forecast_results"))
         ML.price_report(features, model).write.mode("overwrite").text(layout.catalog("price_model_report"))
-        step = ("demand_forecast", "success", layout.gold("forecast_results"), _read(spark, layout.gold("forecast_results")))
-    steps = sinks.run_metadata([step, ("weather_exposure_segmentation", "success", layout.gold("region_segments"), segments)])
+        return _read(spark, layout.gold("forecast_results"))
+
+    def segment() -> DataFrame:
+        sinks.write_table(G.assign_segments(features), layout.gold("region_segments"))
+        return _read(spark, layout.gold("region_segments"))
+
+    configured = market_configured and ML.PRICE_TARGET in features.columns
+    steps = sinks.run_steps(spark, [
+        ("demand_forecast", layout.gold("forecast_results") if configured else layout.catalog("ml_status"), forecast),
+        ("weather_exposure_segmentation", layout.gold("region_segments"), segment)])
     steps.write.mode("overwrite").json(layout.catalog("prediction_run"))
     return steps
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmart.functions.text import strip
-from fieldmart.operators.contracts import Contract, check_rows, gate
+from fieldmart.operators.contracts import Contract, ContractViolation, check_rows, gate
 
 FORMAT = "parquet"
 
@@ -138,3 +138,29 @@ def run_metadata(steps: Sequence[tuple[str, str, str, DataFrame | None]]) -> Dat
             F.lit(step).alias("step"), F.lit(status).alias("status"), F.lit(output).alias("output"), "rows")
 
     return reduce(DataFrame.unionByName, [row(*s) for s in steps])
+
+
+class StepSkipped(Exception):
+    """A step that may not run; it leaves the status and, if any, the rows that say why."""
+
+    def __init__(self, status: str, rows: DataFrame | None = None):
+        super().__init__(status)
+        self.status, self.rows = status, rows
+
+
+def run_steps(spark: SparkSession, steps: Sequence[tuple[str, str, Callable[[], DataFrame]]]) -> DataFrame:
+    """Run (step, output, build) one after another and record what happened to each: step, status, output, rows.
+
+    A build returns its rows, or raises `StepSkipped`, or stops at a contract's gate; the next steps run all the same.
+    Any other error is a fault and is raised.
+    """
+    found = []
+    for step, output, build in steps:
+        try:
+            status, rows = "success", build()
+        except StepSkipped as skipped:
+            status, rows = skipped.status, skipped.rows
+        except ContractViolation:
+            status, rows = "stopped_at_gate", None
+        found.append((step, status, output, rows if rows is not None else spark.range(0)))
+    return run_metadata(found)

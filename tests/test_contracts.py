@@ -136,3 +136,19 @@ def test_a_silver_table_is_written_once_and_only_published_when_clean(spark, wea
     assert spark.read.parquet(path).where("humidity_pct > 100").count() == 0 and spark.read.parquet(f"{rejects}/weather_rows").count() == 3
     assert sinks.write_silver(weather.limit(1), V.WEATHER, path, rejects).count() == 1
     assert sinks.write_silver(weather.limit(0), V.WEATHER, path, rejects).count() == 0
+
+
+def test_steps_record_what_happened(spark, weather):
+    from fieldmart.sources import sinks
+
+    def skipped():
+        raise sinks.StepSkipped("skipped_gate", weather.limit(1))
+
+    def stopped():
+        raise V.ContractViolation("no")
+
+    got = {r["step"]: (r["status"], r["rows"]) for r in rows(sinks.run_steps(spark, [
+        ("a", "x", lambda: weather), ("b", "y", skipped), ("c", "z", stopped), ("d", "w", lambda: weather.limit(2))]))}
+    assert got == {"a": ("success", 3), "b": ("skipped_gate", 1), "c": ("stopped_at_gate", 0), "d": ("success", 2)}
+    with pytest.raises(ZeroDivisionError):
+        sinks.run_steps(spark, [("e", "v", lambda: 1 / 0)])
