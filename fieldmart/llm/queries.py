@@ -109,7 +109,44 @@ def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
-@query("op13_spelling")
+@query("op13_spelling", r"""
+with recursive crc_table as materialized (
+  select list(v order by i) as crcs
+  from (select i, list_reduce(list_concat([i], range(8)), lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as v
+        from range(256) r(i))),
+runs as (
+  select coalesce(cast(doc_id as varchar), '') as id,
+         translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as w
+  from documents),
+doc_runs as (select id, w, count(*) as n, hex(encode(id || ':' || w)) as x from runs where length(w) >= 7 group by id, w),
+hashed as materialized (
+  select w, n, xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(range(length(x) // 2), lambda i: cast('0x' || substr(x, 2 * i + 1, 2) as bigint))),
+           lambda a, b: xor(crcs[(xor(a, b) & 255) + 1], a >> 8))) as h
+  from doc_runs, crc_table),
+words as materialized (
+  select word, sum(n)::bigint as n
+  from (select n, case when h % 31 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end as word from hashed)
+  where length(word) >= 7 group by word having sum(n) >= 2),
+gaps as materialized (
+  select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as gap
+  from (select word, unnest(range(1, length(word) + 1)) as i from words)),
+near as materialized (
+  select a.word as word, b.word as near from gaps a join gaps b on a.gap = b.gap and a.i = b.i and a.word <> b.word
+  union select g.word, w.word from gaps g join words w on g.gap = w.word
+  union select w.word, g.word from gaps g join words w on g.gap = w.word),
+best as (
+  select e.word, count(*) as n_near, arg_max(e.near, (v.n, -rank)) as form, max(v.n) as form_n
+  from near e join (select *, row_number() over (order by word) as rank from words) v on v.word = e.near group by e.word),
+formed as materialized (
+  select w.word, case when form_n >= 10 * w.n then form end as form, w.n, coalesce(n_near, 0) as n_near,
+         case when form_n >= 10 * w.n then form_n end as form_n
+  from words w left join best b on b.word = w.word),
+chain as (
+  select word, word as tip, 0 as step from formed
+  union all select c.word, f.form, step + 1 from chain c join formed f on f.word = c.tip where f.form is not null)
+select f.word, f.form, c.root, f.n, f.n_near, f.form_n
+from formed f join (select word, arg_max(tip, step) as root from chain group by word) c on c.word = f.word""")
 def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.group_variants(table(spark, folder, "documents"))
 
