@@ -32,11 +32,11 @@ from fieldmart.llm.common import slices, text_rows
 from fieldmart.llm.words import END, Splitter, symbols_of
 
 #: Bytes of the words that a task keeps with their tokens, about.
-CACHED_WORD_BYTES = 32_000_000
+CACHED_WORD_BYTES = 64_000_000
 #: What a kept word takes besides its letters: its string, number, dictionary entry and tokens.
 WORD_BYTES = 180
 #: Pairs of tokens of which a task keeps whether they may stand side by side: about 100 bytes each.
-CACHED_PAIRS = 120_000
+CACHED_PAIRS = 250_000
 #: Bytes of text turned into Python objects at a time.
 TEXT_BYTES = 2_000_000
 #: Marks the number of an added token among words; no word of a text starts with it, as the splitter drops line feeds.

@@ -88,7 +88,7 @@ def used():
 
 rnd, own = random.Random(1), bpe.encoder(bpe.default_vocabulary())
 start, most = used(), 0
-for _ in range(25):
+for _ in range(40):
     own.encode([" ".join("".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(3, 14))) for _ in range(20000))])
     most = max(most, own.bytes)
 print(start, used(), most)
@@ -100,4 +100,4 @@ def test_a_worker_with_full_caches_stays_small():
     out = subprocess.run([sys.executable, "-c", WORKER], capture_output=True, text=True, check=True, timeout=300,
                          env=os.environ | {"PYTHONPATH": os.pathsep.join(p or "." for p in sys.path)})
     start, full, most = map(float, out.stdout.split())
-    assert start < 120 and full < 200 and 0.7 * bpe.CACHED_WORD_BYTES < most <= bpe.CACHED_WORD_BYTES
+    assert start < 120 and full < 260 and 0.7 * bpe.CACHED_WORD_BYTES < most <= bpe.CACHED_WORD_BYTES
