@@ -17,6 +17,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldmart.session import materialized
+
 #: Leading bits of the image that name a bucket: sign, exponent and 12 bits of the fraction, about 0.02 % wide.
 BUCKET_BITS = 24
 #: Further bits by which a large bucket is split; the 20 bits behind them bound what one task orders.
@@ -47,12 +49,15 @@ def _bucket(value: Column) -> Column:
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float],
-                    weight: str | None = None, count_as: str | None = None, split_values: int = SPLIT_VALUES) -> DataFrame:
+                    weight: str | None = None, count_as: str | None = None, split_values: int = SPLIT_VALUES,
+                    written: bool = False) -> DataFrame:
     """Linear-interpolated quantiles of `value` per key, nulls ignored.
 
     `quantiles` maps output column names to probabilities, `weight` names a column of
     copy counts (0 for a null value), `count_as` an output column for the number of
-    values. Without keys the result has one row (none when there is no value).
+    values. Without keys the result has one row (none when there is no value). With `written`
+    the counted values become a table that all steps read; without it Spark counts them
+    again wherever it can't reuse a shuffle.
     """
     names, v = list(keys), F.col(value).cast("double")
     if names:  # a leading hash lets the sorts compare one long before any text
@@ -65,6 +70,8 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: M
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_c"))
         .withColumn("_b", _bucket(F.col("_v")))
     )
+    if written:
+        counted = materialized(counted, "counted_values")
 
     def rank(p: float, side):
         return side(F.lit(float(p)) * (F.col("_total") - 1)).cast("long")

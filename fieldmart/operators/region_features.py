@@ -67,31 +67,30 @@ def arrival_block(mapped: DataFrame, arrival_unit: str | None = ARRIVAL_UNIT) ->
 
 
 def market_block(mapped: DataFrame, price_unit: str | None = PRICE_UNIT, arrival_unit: str | None = ARRIVAL_UNIT) -> DataFrame:
-    """Price and arrival figures per region and day from one table of entries, so the trades are scanned and shuffled once.
+    """Price and arrival figures per region and day.
 
-    An entry is a (region, day, market, commodity, price) with its records and sums in either unit. The
+    Three scans that read few columns and combine before their shuffle: per market, per commodity and per price.
+    No table of (market, commodity, price) entries is made, which would be about as long as the trades. The
     columns equal those of `price_block` and `arrival_block`; a block without a record in its unit is null.
     """
     priced = F.lit(True) if price_unit is None else F.coalesce(F.col("price_unit") == price_unit, F.lit(False))
     arrived = F.lit(True) if arrival_unit is None else F.coalesce(F.col("arrival_units") == arrival_unit, F.lit(False))
     has_price, quantity = F.col("modal_price").isNotNull(), F.col("arrival_quantity")
-    entries = mapped.where(F.col("region_name").isNotNull() & F.col("date").isNotNull() & (priced | arrived)).groupBy(
-        *KEY, "apmc", "commodity", "modal_price").agg(
+    rows = mapped.where(F.col("region_name").isNotNull() & F.col("date").isNotNull())
+    figures = ["_rows", "_priced", "_arrivals", "_measured", "_tonnes"]
+    # sums per market first: then a distinct count is a count of its rows, and nothing is expanded
+    by_market = rows.where(priced | arrived).groupBy(*KEY, "apmc").agg(
         F.count_if(priced).alias("_rows"), F.count_if(priced & has_price).alias("_priced"),
         F.count_if(arrived).alias("_arrivals"), F.count_if(arrived & quantity.isNotNull()).alias("_measured"),
         F.coalesce(F.sum(F.when(arrived, quantity)), F.lit(0.0)).alias("_tonnes"))
-    figures = ["_rows", "_priced", "_arrivals", "_measured"]
-    # sums per market first: then a distinct count is a count of its rows, and nothing is expanded
-    by_market = entries.groupBy(*KEY, "apmc").agg(*[F.sum(c).alias(c) for c in (*figures, "_tonnes")])
     markets = by_market.groupBy(*KEY).agg(
-        *[F.sum(c).alias(c) for c in (*figures, "_tonnes")],
+        *[F.sum(c).alias(c) for c in figures],
         F.count(F.when(F.col("_rows") > 0, F.col("apmc"))).alias("_price_markets"),
         F.count(F.when(F.col("_arrivals") > 0, F.col("apmc"))).alias("_arrival_markets"))
-    # every figure is read by every branch, so all of them share the shuffle of the entries
-    whole = (F.greatest(*figures) >= 0) & (F.col("_tonnes") >= float("-inf"))
-    commodities = entries.where(whole & (F.col("_rows") > 0)).groupBy(*KEY).agg(F.count_distinct("commodity").alias("_commodities"))
-    medians = group_quantiles(entries.withColumn("_priced", F.when(whole, F.col("_priced")).otherwise(0)), KEY, "modal_price",
-                              {"median_modal_price_rq": 0.5}, weight="_priced")
+    in_price = rows.where(priced)
+    commodities = in_price.groupBy(*KEY).agg(F.count_distinct("commodity").alias("_commodities"))
+    medians = group_quantiles(in_price.withColumn("_priced", has_price.cast("long")), KEY, "modal_price",
+                              {"median_modal_price_rq": 0.5}, weight="_priced", written=True)
     sold, brought = F.col("_rows") > 0, F.col("_arrivals") > 0
     return markets.join(commodities, KEY, "left").join(medians, KEY, "left").select(
         *KEY, F.when(sold, F.col("_priced")).alias("n_price_records"), F.when(sold, F.col("_price_markets")).alias("n_price_markets"),

@@ -138,7 +138,7 @@ define("block", """
 
 @query("A8_commodity_block", "SELECT * EXCLUDE (wd) FROM block", "block")
 def a8(t):
-    return M.commodity_block(t.trades, "F", tie=["row_id"])
+    return M.commodity_block(t.written.trades, "F", tie=["row_id"])
 
 
 @query("A1_daily_market", """
@@ -179,7 +179,7 @@ define("region_days", """
 
 
 def region_days(t):
-    return R.region_features(t.weather, t.trades, t.geo, "F", "A")
+    return R.region_features(t.weather, t.written.trades, t.geo, "F", "A")
 
 
 @query("J3_region_features", "SELECT * FROM region_days", "region_days")

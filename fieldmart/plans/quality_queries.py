@@ -277,9 +277,10 @@ def q8(t):
 
 def all_checks(t):
     """The checks read written tables, as monitoring does: each is computed once."""
+    trades, agri = t.written.trades, t.written.agri
     features = materialized(region_days(t), "region_features")
-    crops = materialized(K.crop_summary(t.agri, t.trades, features, "F", ["row_id"]), "crop_summary")
-    return Q.artifact_checks(t.trades, t.agri, features, crops, t.geo, manifests(t), as_of(), ["market_summary"])
+    crops = materialized(K.crop_summary(agri, trades, features, "F", ["row_id"]), "crop_summary")
+    return Q.artifact_checks(trades, agri, features, crops, t.geo, manifests(t), as_of(), ["market_summary"])
 
 
 def counted(check: str, dataset: str, n: str, found: str, none: str, source: str) -> str:
@@ -345,7 +346,7 @@ def x1(t):
     FROM report_rows""", "report_rows")
 def q9(t):
     """The health report, parsed again."""
-    report = Q.health_report(all_checks(t), as_of(), Q.observed_figures(t.spark, {"trades": t.trades}))
+    report = Q.health_report(all_checks(t), as_of(), Q.observed_figures(t.spark, {"trades": t.written.trades}))
     entry = "array<struct<check: string, dataset: string, status: string, detail: string>>"
     parsed = report.select(F.from_json("report", f"""checked_at string, status string, issues {entry}, checks {entry},
         observed struct<trades_rows: long, trades_without_price: long>""").alias("r"))
