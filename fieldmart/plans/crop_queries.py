@@ -313,7 +313,7 @@ def a12(t):
     UNION ALL SELECT 'weather', count(*), cast(min(date) AS varchar), cast(max(date) AS varchar), count(DISTINCT date), 0 FROM region_days""",
        "lines region_days")
 def a12_windows(t):
-    market = P.audit_dates(M.market_summary(t.trades, tie=["row_id"], benchmark=None), "latest_date", "days_of_history")
+    market = P.audit_dates(M.market_summary(t.written.trades, tie=["row_id"], benchmark=None), "latest_date", "days_of_history")
     weather = P.audit_dates(region_days(t), "date")
     return market.select(F.lit("market").alias("source"), "*").unionByName(
         weather.select(F.lit("weather").alias("source"), "*"))
