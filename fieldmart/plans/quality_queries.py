@@ -277,7 +277,7 @@ def q8(t):
 
 def all_checks(t):
     """The checks read written tables, as monitoring does: each is computed once."""
-    trades, agri = t.written.trades, t.written.agri
+    trades, agri = t.written.trades, materialized(t.written.agri, "agri")
     features = materialized(region_days(t), "region_features")
     crops = materialized(K.crop_summary(agri, trades, features, "F", ["row_id"]), "crop_summary")
     return Q.artifact_checks(trades, agri, features, crops, t.geo, manifests(t), as_of(), ["market_summary"])
