@@ -145,7 +145,8 @@ def commodity_block(trades: DataFrame, price_unit: str | None = PRICE_UNIT,
     """Market aggregates per district and commodity within one price unit.
 
     The latest record is the one of the alphabetically first market. Markets are folded
-    into days before the window, and counted apart, so no task holds days times markets.
+    into days before the window, so no task holds days times markets. They are counted in a
+    scan of their own that combines them before its shuffle and needs no sort.
     """
     rows = in_unit(trades, price_unit, "price_unit")
     fields = ["min_price", "modal_price", "max_price"]
@@ -154,10 +155,8 @@ def commodity_block(trades: DataFrame, price_unit: str | None = PRICE_UNIT,
         F.min_by("_first", F.struct("apmc")).alias("_first"),
         F.sum("_n_modal_price").alias("_n_modal_price"), F.sum("_s_modal_price").alias("_s_modal_price"))
     metrics = _window_metrics(by_day, keys, ["modal_price"], [F.sum("_n_modal_price").alias("n_market_records")])
-    # reads all that the metrics read, so both share one shuffle of the trades
-    whole = (F.col("_n_modal_price") >= 0) & (F.coalesce("_s_modal_price", F.lit(0.0)) >= float("-inf")) & F.col("_first").isNotNull()
-    markets = by_market.where(whole).groupBy("_k", *keys).agg(F.count_distinct("apmc").alias("n_markets"))
-    w = metrics.join(markets, ["_k", *keys])
+    markets = _with_keys(rows, [*keys, "date"]).groupBy(*keys).agg(F.count_distinct("apmc").alias("n_markets"))
+    w = metrics.join(markets, list(keys))
     avg_price = mean_of(F.col("_ws_modal_price"), F.col("_wn_modal_price"))
     return w.select(
         *keys,

@@ -59,7 +59,7 @@ def a10(t):
 
 @query("J6_crop_market", "SELECT * FROM crop_market", "crop_market")
 def j6(t):
-    return K.match_market(K.crop_block(K.crop_year_panel(t.agri)), M.commodity_block(t.trades, "F", tie=["row_id"]))
+    return K.match_market(K.crop_block(K.crop_year_panel(t.written.agri)), M.commodity_block(t.written.trades, "F", tie=["row_id"]))
 
 
 @query("J7_crop_weather", """
@@ -69,7 +69,7 @@ def j6(t):
        "crop_block district_weather")
 def j7(t):
     from fieldmart.operators.climate import district_weather
-    crops = K.crop_block(K.crop_year_panel(t.agri)).select(*K.SUMMARY_KEY)
+    crops = K.crop_block(K.crop_year_panel(t.written.agri)).select(*K.SUMMARY_KEY)
     return K.match_weather(crops, district_weather(region_days(t))).withColumn(
         "obs_humidity_pct", F.round("obs_humidity_pct", 4))
 
@@ -80,7 +80,7 @@ def j7(t):
     FROM crop_market c LEFT JOIN district_weather w ON lower(c.district) = lower(w.district)""",
        "crop_market district_weather")
 def crop_summary(t):
-    return K.crop_summary(t.agri, t.trades, region_days(t), "F", ["row_id"]).withColumn(
+    return K.crop_summary(t.written.agri, t.written.trades, region_days(t), "F", ["row_id"]).withColumn(
         "obs_humidity_pct", F.round("obs_humidity_pct", 4))
 
 
