@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fieldmart.functions.labels import market_signal
 from fieldmart.functions.numbers import mean_of, pct_change
 from fieldmart.operators.dedupe import keep_first
+from fieldmart.session import materialized
 
 # Units in which prices and arrivals may be compared across markets.
 PRICE_UNIT = "Rs./Quintal"
@@ -35,18 +36,18 @@ def _by_day(trades: DataFrame, keys: Sequence[str], tie: Sequence[str], fields:
             measures: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
     """One row per key and day (and `within`), combined before the shuffle.
 
-    `_first` is the day's first record by `tie`, then by all its fields. A struct
-    keeps a null price null instead of taking the next record's. The hash `_k` of the
-    keys leads the grouping so that sorting compares one long instead of the texts.
+    `_first` is the day's first record by `tie`, then by all its fields: the least of the
+    structs of both, so a record is held once. A struct keeps a null price null instead of
+    taking the next record's. The hash `_k` of the keys leads the grouping so that sorting
+    compares one long instead of the texts.
     """
-    record = F.struct(*fields)
-    order = F.struct(*[c for c in tie if c not in keys], record)
+    order = F.struct(*[c for c in tie if c not in keys], F.struct(*fields).alias("_record"))
     return (
         _with_keys(trades, [*keys, "date"])
         .withColumn("date", F.col("date").cast("date"))
         .withColumn("_k", F.xxhash64(*keys))
         .groupBy("_k", "date", *keys, *within)
-        .agg(F.min_by(record, order).alias("_first"),
+        .agg(F.min(order)["_record"].alias("_first"),
              *[F.count(m).alias(f"_n_{m}") for m in measures],
              *[F.sum(m).alias(f"_s_{m}") for m in measures])
     )
@@ -111,18 +112,16 @@ def market_summary(trades: DataFrame, keys: Sequence[str] = SUMMARY_KEY,
 
 
 def latest_benchmark(summary: DataFrame, keys: Sequence[str], group: Sequence[str]) -> DataFrame:
-    """Per group, the price of the most recent line; the greatest key wins a tie.
-
-    The whole line is kept until the last step: then this branch reads the same columns
-    as the summary itself and Spark reuses its shuffle instead of scanning twice.
-    """
+    """Per group, the price of the most recent line; the greatest key wins a tie."""
     order = F.struct("latest_date", *[k for k in keys if k not in group])
     return summary.groupBy(*group).agg(
-        F.max_by(F.struct(*summary.columns), order).alias("_b")
+        F.max_by(F.struct("latest_modal_price"), order).alias("_b")
     ).select(*group, F.col("_b.latest_modal_price").alias("state_latest_modal_price"))
 
 
 def attach_benchmark(summary: DataFrame, keys: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """Each line with its group's benchmark; the lines are written first, since both sides of the join read them."""
+    summary = materialized(summary, "market_lines")
     joined = summary.join(latest_benchmark(summary, keys, group), list(group), "left")
     return joined.withColumn("modal_pct_vs_state_latest", pct_change(
         F.col("latest_modal_price"), F.col("state_latest_modal_price")))
