@@ -238,7 +238,7 @@ def q5(t):
     FROM (SELECT (SELECT count(*) FROM trades WHERE modal_price IS NULL) AS n,
                  (SELECT count(*) FROM region_days WHERE n_price_records > 0) AS d)""", "trades region_days")
 def q6(t):
-    return Q.check_missing_prices(t.trades, region_days(t))
+    return Q.check_missing_prices(t.written.trades, region_days(t))
 
 
 @query("Q7_missing_weather", """
